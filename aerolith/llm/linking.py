@@ -80,11 +80,11 @@ def bucket_components(
     keys: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     prefilter: Callable[[str, str], Column] | None = None,
-    carry: tuple[str, ...] = (),
+    detail: DataFrame | None = None,
     known: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the graph whose links are the verified pairs that share a
-    bucket of ``keys(bucket, id, *carry)``.
+    bucket of ``keys(bucket, id)``.
 
     A large bucket is not expanded into all its pairs.  Its members are first
     verified against two hubs (smallest and largest id).  Members that the hubs
@@ -93,15 +93,15 @@ def bucket_components(
     lost, since every pair that could join two components is verified.
 
     ``verify`` takes distinct ``(a, b)`` and returns those that are links;
-    ``prefilter(left, right)`` gives a join condition on the carried columns that
-    no link fails; ``known(a, b)`` are links given beforehand.  Returns ``(links(a, b), components(id, component))``.
+    ``prefilter(left, right)`` gives a join condition on the columns of ``detail(id,
+    ...)``, which the second pass is joined with; ``known(a, b)`` are links given beforehand.  Returns ``(links(a, b), components(id, component))``.
     """
     sizes = (
         keys.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
         .where("lo < hi")
     )
-    members = materialise(keys.join(sizes.drop("n"), "bucket").select("bucket", "id", "lo", "hi", *carry))
+    members = materialise(keys.join(sizes.drop("n"), "bucket").select("bucket", "id", "lo", "hi"))
     hubs = members.select(F.col("lo").alias("a"), F.col("id").alias("b")).union(
         members.select(F.col("id").alias("a"), F.col("hi").alias("b"))
     )
@@ -118,7 +118,8 @@ def bucket_components(
         .where("c0 < c1")
         .select("bucket")
     )
-    rest = materialise(labelled.join(mixed, "bucket", "left_semi"))
+    rest = labelled.join(mixed, "bucket", "left_semi")
+    rest = materialise(rest if detail is None else rest.join(detail, "id"))
     left, right = rest.alias("l"), rest.alias("r")
     condition = (
         (F.col("l.bucket") == F.col("r.bucket"))

@@ -61,15 +61,28 @@ def minhashes(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
+#: Sketch: the low 4 bits of each minhash, packed into longs.
+SKETCH_BITS = 4
+
+
+def sketch_tolerance(hashes: int, similarity: float) -> int:
+    """Sketch bits in which a pair of this similarity differs at most, but for three
+    and a third standard deviations (1 pair in 2,000 at the very threshold)."""
+    unequal = hashes * (1 - similarity)  # each has half its bits differing on average
+    deviation = (SKETCH_BITS**2 / 4 * unequal * similarity + SKETCH_BITS / 4 * unequal) ** 0.5
+    return int(SKETCH_BITS / 2 * unequal + 10 / 3 * deviation)
+
+
 def signatures(docs: DataFrame, words: int, groups: int, width: int) -> DataFrame:
-    """Per row: id, n, two set digests, and ``2 * groups`` sub-keys, each a hash of
-    ``width`` minhashes (the two smaller collections that tables are built from)."""
+    """Per row: id, n, two set digests, ``2 * groups`` sub-keys, each a hash of
+    ``width`` minhashes (the two smaller collections that tables are built from), and
+    the sketch of all minhashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         a, b = coefficients(2 * groups * width)
         for batch in batches:
-            ids, n, d1, d2, subs = [], [], [], [], []
+            ids, n, d1, d2, subs, sketches = [], [], [], [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 s = shingle_hashes(text.as_py(), words, memo)
                 ids.append(doc_id.as_py())
@@ -77,25 +90,33 @@ def signatures(docs: DataFrame, words: int, groups: int, width: int) -> DataFram
                 digest = xxhash.xxh3_128_intdigest(s.tobytes())
                 d1.append((digest >> 64) - 2**63)
                 d2.append((digest & (2**64 - 1)) - 2**63)
-                m = minhashes(s, a, b).reshape(2 * groups, width)
+                m = minhashes(s, a, b)
+                low = (m[:, None] >> np.arange(32, 32 + SKETCH_BITS, dtype=np.uint64)[None, :]) & np.uint64(1)
+                sketches.append(np.packbits(low.astype(np.uint8).ravel()).view(np.int64))
+                m = m.reshape(2 * groups, width)
                 key = np.arange(1, 2 * groups + 1, dtype=np.uint64)
                 for k in range(width):
                     key = mix(key + m[:, k])
                 subs.append(key.view(np.int64))
-            flat = pa.array(np.concatenate(subs) if subs else np.empty(0, np.int64))
-            offsets = pa.array(np.arange(len(subs) + 1, dtype=np.int32) * (2 * groups))
+            none = np.empty(0, np.int64)
+
+            def lists(rows: list[np.ndarray]) -> pa.ListArray:
+                ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([none, *rows])))
+
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(n, pa.int64()),
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
-                    pa.ListArray.from_arrays(offsets, flat),
+                    lists(subs),
+                    lists(sketches),
                 ],
-                ["id", "n", "d1", "d2", "subs"],
+                ["id", "n", "d1", "d2", "subs", "sketch"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, subs array<long>")
+    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, subs array<long>, sketch array<long>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -138,7 +159,8 @@ def near_duplicates(
     need groups ** 2 * 2 * width for.  A table key can be shared only if both its
     sub-keys are, so sub-keys that occur once are dropped before tables are formed.
     Rows with equal sets are one node throughout.  Pairs that share a table are
-    verified on full sets; see ``bucket_components`` for large tables.
+    verified on full sets; see ``bucket_components`` for large tables, in whose second
+    pass the sketch of all minhashes screens pairs before they are formed.
 
     Returns ``doc_id, n_shingles, component_id, kept`` plus ``class_id`` (smallest
     id with the same set).  Defined cases: null or blank text has an empty set and
@@ -151,7 +173,7 @@ def near_duplicates(
     table = materialise(signatures(source, words, groups, width))
     live = table.where("n > 0 and id is not null")
     classes = live.groupBy("d1", "d2").agg(
-        F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("subs").alias("subs")
+        F.min("id").alias("class_id"), F.first("n").alias("n"), F.first("subs").alias("subs"), F.first("sketch").alias("sketch")
     )
     nodes = materialise(classes)
 
@@ -166,12 +188,12 @@ def near_duplicates(
         F.explode(F.filter("p", lambda x: x.pos < groups)).alias("x"),
         F.filter("p", lambda x: x.pos >= groups).alias("ys"),
     ).select("id", "x", F.explode("ys").alias("y"))
-    sizes = nodes.select(F.col("class_id").alias("id"), "n").groupBy("id").agg(
-        F.min("n").alias("n0"), F.max("n").alias("n1")
+    keys = tables.select("id", F.xxhash64("x.pos", "x.sub", "y.pos", "y.sub").alias("bucket"))
+    longs = 2 * groups * width * SKETCH_BITS // 64
+    detail = nodes.select(
+        F.col("class_id").alias("id"), "n", *[F.col("sketch")[k].alias(f"k{k}") for k in range(longs)]
     )
-    keys = tables.select(
-        "id", F.xxhash64("x.pos", "x.sub", "y.pos", "y.sub").alias("bucket")
-    ).join(sizes, "id")
+    tolerance = sketch_tolerance(2 * groups * width, similarity_pct / 100)
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs)
@@ -189,12 +211,15 @@ def near_duplicates(
             .distinct()
         )
 
-    def sizes_allow(left: str, right: str):
-        """Neither set may be smaller than the similarity's share of the other."""
-        pct = F.lit(similarity_pct)
-        return (F.col(f"{left}.n1") * 100 >= F.col(f"{right}.n0") * pct) & (
-            F.col(f"{right}.n1") * 100 >= F.col(f"{left}.n0") * pct
+    def may_link(left: str, right: str):
+        """Neither set is smaller than the similarity's share of the other, and the
+        sketches differ in no more bits than such pairs' do."""
+        n0, n1 = F.col(f"{left}.n"), F.col(f"{right}.n")
+        differing = sum(
+            F.bit_count(F.col(f"{left}.k{k}").bitwiseXOR(F.col(f"{right}.k{k}"))) for k in range(longs)
         )
+        fits = F.least(n0, n1) * 100 >= F.greatest(n0, n1) * similarity_pct
+        return fits & (differing <= tolerance)
 
     # an id that is repeated with different texts ties their classes together
     several = live.groupBy("id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo < hi")
@@ -205,7 +230,7 @@ def near_duplicates(
         .where("a < b")
         .distinct()
     )
-    _, found = bucket_components(keys, verify, sizes_allow, ("n0", "n1"), ties)
+    _, found = bucket_components(keys, verify, may_link, detail, ties)
     by_class = nodes.select("d1", "d2", "class_id").join(
         found.withColumnRenamed("id", "class_id"), "class_id", "left"
     )
