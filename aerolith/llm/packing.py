@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .exact import WHITE_SPACE
+from .storage import materialise
 
 #: Pieces that one shard packs: bounds a task's memory and time.
-SHARD_PIECES = 20_000
+SHARD_PIECES = 8_000
 
 
 class Bins:
@@ -78,8 +79,7 @@ def pack_shard(shard: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 def word_count(text: Column) -> Column:
     """Words of a text, separated by 0x20 and 0x09-0x0D."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.when(trimmed == "", 0).otherwise(F.regexp_count(trimmed, F.lit(WHITE_SPACE)) + 1)
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
 
 
 def pack(
@@ -99,7 +99,7 @@ def pack(
     ``source_col`` is given.  A longer document is cut into pieces of ``capacity``;
     only its last piece can share a bin.
 
-    Shards of about 20,000 pieces are packed independently, a row going to a shard
+    Shards of about 8,000 pieces are packed independently, a row going to a shard
     by a hash of its id, text hash and length, so a hot source or cluster is dealt
     over all shards.  The loss against one global packing is a few open bins a shard.
 
@@ -112,13 +112,13 @@ def pack(
     """
     text = F.col(text_col)
     norm = F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
-    rows = docs.select(
+    rows = materialise(docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (length if length is not None else word_count(text)).cast("long").alias("len"),
         (F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")).alias("source"),
         (cluster if cluster is not None else F.xxhash64(norm)).cast("long").alias("cluster"),
         F.xxhash64(id_col, text_col).alias("tie"),
-    )
+    ))
     full = (F.col("len") / capacity).cast("long")
     last = F.col("len") - full * capacity
     # pieces that fill a bin need no search
