@@ -1 +1 @@
-"""functions"""
+"""Scalar expressions on columns."""

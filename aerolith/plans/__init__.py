@@ -1 +1 @@
-"""plans"""
+"""Whole products, from native fields to checked tables."""
