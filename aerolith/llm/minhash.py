@@ -191,7 +191,10 @@ def near_duplicates(
     keys = tables.select("id", F.xxhash64("x.pos", "x.sub", "y.pos", "y.sub").alias("bucket"))
     longs = 2 * groups * width * SKETCH_BITS // 64
     detail = nodes.select(
-        F.col("class_id").alias("id"), "n", *[F.col("sketch")[k].alias(f"k{k}") for k in range(longs)]
+        F.col("class_id").alias("id"),
+        "n",
+        *[F.col("sketch")[k].alias(f"k{k}") for k in range(longs)],
+        *[F.col("subs")[k].alias(f"s{k}") for k in range(2 * groups)],
     )
     tolerance = sketch_tolerance(2 * groups * width, similarity_pct / 100)
 
@@ -212,14 +215,20 @@ def near_duplicates(
         )
 
     def may_link(left: str, right: str):
-        """Neither set is smaller than the similarity's share of the other, and the
-        sketches differ in no more bits than such pairs' do."""
+        """Neither set is smaller than the similarity's share of the other, the
+        sketches differ in no more bits than such pairs' do, and this is the first of
+        the tables that the two share, so that a pair is formed once."""
         n0, n1 = F.col(f"{left}.n"), F.col(f"{right}.n")
         differing = sum(
             F.bit_count(F.col(f"{left}.k{k}").bitwiseXOR(F.col(f"{right}.k{k}"))) for k in range(longs)
         )
         fits = F.least(n0, n1) * 100 >= F.greatest(n0, n1) * similarity_pct
-        return fits & (differing <= tolerance)
+        same = [F.col(f"{left}.s{k}") == F.col(f"{right}.s{k}") for k in range(2 * groups)]
+        first = []
+        for half in (range(groups), range(groups, 2 * groups)):
+            first.append(F.coalesce(*[F.when(same[k], F.lit(k)) for k in half]))
+            first.append(F.coalesce(*[F.when(same[k], F.col(f"{left}.s{k}")) for k in half]))
+        return fits & (differing <= tolerance) & (F.col(f"{left}.bucket") == F.xxhash64(*first))
 
     # an id that is repeated with different texts ties their classes together
     several = live.groupBy("id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo < hi")
