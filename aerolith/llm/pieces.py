@@ -8,6 +8,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 MARK = SPACE.encode("utf-8")
-#: A run of space marks and what follows up to the next one.  No piece has a mark
-#: after another character (checked on loading), so no merge crosses a unit.
-UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
+#: Space marks with the letters and digits (but ²), or the other characters, that follow.  No
+#: piece goes on over such a border (checked on loading), so no merge crosses a unit.
+UNIT = re.compile(f"{SPACE}*(?:[^\\W_²]+|(?:[_²]|[^\\w{SPACE}])+)|{SPACE}+")
 
 
 GONE = -2
@@ -41,7 +42,7 @@ def codec_for(model_file: str) -> Codec:
 class Codec:
     """Encodes by merging, decodes by joining pieces; holds a bounded memo of units."""
 
-    MEMO = 500_000
+    MEMO = 250_000
 
     def __init__(self, model_file: str):
         import sentencepiece
@@ -65,10 +66,14 @@ class Codec:
         self.byte_ids = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
         self.control = {i for i in range(n) if sp.is_control(i)}
+        self.parts = [
+            b"" if i in self.control else bytes([self.bytes[i]]) if i in self.bytes else self.pieces[i].encode("utf-8")
+            for i in range(n)
+        ]
         self.bos, self.eos, self.unknown = sp.bos_id(), sp.eos_id(), sp.unk_id()
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids) or len(self.byte_ids) != 256:
-            raise ValueError("needs a vocabulary with byte pieces and space marks only at the start of pieces")
-        self.memo: dict[str, list[int]] = {}
+        if any(len(UNIT.findall(p)) != 1 for p in self.ids if p) or len(self.byte_ids) != 256:
+            raise ValueError("needs a vocabulary with byte pieces, and with no piece over the border of two units")
+        self.memo: dict[str, tuple[int, ...]] = {}
 
     def merge_short(self, unit: str) -> list[int]:
         """``merge`` with the agenda as one rank for each adjacent pair: below some
@@ -140,36 +145,30 @@ class Codec:
                 out += [self.byte_ids[b] for b in unit[i].encode("utf-8")]
         return out
 
-    def unit_ids(self, unit: str) -> list[int]:
-        ids = self.memo.get(unit)
-        if ids is None:
-            ids = self.merge_short(unit) if len(unit) <= 32 else self.merge(unit)
-            if len(unit) <= 32:
-                if len(self.memo) >= self.MEMO:
-                    self.memo.clear()
-                self.memo[unit] = ids
+    def unit_ids(self, unit: str) -> tuple[int, ...]:
+        if len(unit) > 32:
+            return tuple(self.merge(unit))
+        if len(self.memo) >= self.MEMO:
+            self.memo.clear()
+        ids = self.memo[unit] = tuple(self.merge_short(unit))
         return ids
 
     def encode(self, text: str) -> list[int]:
         """Ids with begin and end; the text is marked and not normalised otherwise."""
-        out = [self.bos]
+        out, known = [self.bos], self.memo.get
         if text:
             for unit in UNIT.findall(SPACE + text.replace(" ", SPACE)):
-                out += self.unit_ids(unit)
+                out += known(unit) or self.unit_ids(unit)
         out.append(self.eos)
         return out
 
     def decode(self, ids: list[int]) -> str:
-        """Joins pieces and bytes; marks become spaces, the first one goes."""
-        parts: list[bytes] = []
-        for i in ids:
-            if i in self.control:
-                continue
-            b = self.bytes.get(i)
-            parts.append(bytes([b]) if b is not None else self.pieces[i].encode("utf-8"))
-        if parts and parts[0].startswith(MARK):
-            parts[0] = parts[0][len(MARK) :]
-        return b"".join(parts).decode("utf-8", "one_mark_per_byte").replace(SPACE, " ")
+        """Joins pieces and bytes; marks become spaces, that of a first piece goes."""
+        data = b"".join(map(self.parts.__getitem__, ids))
+        first = next((i for i in ids if i not in self.control), None)
+        if first is not None and first not in self.bytes and data.startswith(MARK):
+            data = data[len(MARK) :]
+        return data.decode("utf-8", "one_mark_per_byte").replace(SPACE, " ")
 
     def verify(self, texts: list[str], ids: list[list[int]]) -> None:
         """Raises where the library gives other ids for one of ``texts``."""
@@ -198,7 +197,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
                 if check:
                     codec.verify(texts, ids)
                 lens = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = pa.array(np.fromiter((i for x in ids for i in x), np.int32, lens[-1]))
+                flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, lens[-1]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(lens), flat), pa.array([codec.decode(x) for x in ids], pa.string())],
                     ["doc_id", "ids", "decoded"],
@@ -214,7 +213,9 @@ def piece_digests(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.array(x, "<u4") for x in batch.column(1).to_pylist()]
+            flat = np.asarray(batch.column(1).values).astype("<u4")
+            ends = np.asarray(batch.column(1).offsets)
+            ids = [flat[i:j] for i, j in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
