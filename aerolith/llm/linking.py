@@ -82,6 +82,7 @@ def bucket_components(
     prefilter: Callable[[str, str], Column] | None = None,
     detail: DataFrame | None = None,
     known: DataFrame | None = None,
+    extra_hubs: int = 2,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the graph whose links are the verified pairs that share a
     bucket of ``keys(bucket, id)``.
@@ -89,7 +90,8 @@ def bucket_components(
     A large bucket is not expanded into all its pairs.  Its members are first
     verified against two hubs (smallest and largest id).  Members that the hubs
     already join need no further link among themselves; only pairs of one bucket
-    whose components still differ are verified in a second pass.  No component is
+    whose components still differ after ``extra_hubs`` more hubs are verified in a
+    last pass.  No component is
     lost, since every pair that could join two components is verified.
 
     ``verify`` takes distinct ``(a, b)`` and returns those that are links;
@@ -108,17 +110,32 @@ def bucket_components(
     first = verify(hubs.where("a < b").distinct())
     first = materialise(first if known is None else first.union(known))
     found = connected_components(first)
-    labelled = members.join(found, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")
-    )
-    # hub pairs are known; what is left are members that differ among themselves
-    mixed = (
-        labelled.groupBy("bucket")
-        .agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .where("c0 < c1")
-        .select("bucket")
-    )
-    rest = labelled.join(mixed, "bucket", "left_semi")
+
+    def differing(found: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one component."""
+        labelled = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = (
+            labelled.groupBy("bucket")
+            .agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+            .where("c0 < c1")
+            .select("bucket")
+        )
+        return labelled.join(mixed, "bucket", "left_semi")
+
+    # further hubs, chosen by hash, gather what the first ones missed: the fewer
+    # components are left, the fewer pairs have to be formed
+    for turn in range(extra_hubs):
+        rest = materialise(differing(found))
+        if rest.isEmpty():
+            return first, found
+        hub = rest.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")).alias("hub"))
+        asked = rest.join(hub, "bucket").where("component != hub.component")
+        asked = asked.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+        more = materialise(verify(asked))
+        if not more.isEmpty():
+            first = first.union(more)
+            found = connected_components(first)
+    rest = differing(found)
     rest = materialise(rest if detail is None else rest.join(detail, "id"))
     left, right = rest.alias("l"), rest.alias("r")
     condition = (
