@@ -160,14 +160,16 @@ def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFram
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rows of one conversation in one place, however batches cut them."""
         held: list[pd.DataFrame] = []
+        last = None
         for batch in batches:
-            for _, part in batch.groupby(["place", "conv_id"], sort=False):
-                if held and tuple(held[0][["place", "conv_id"]].iloc[0]) != tuple(part[["place", "conv_id"]].iloc[0]):
-                    yield pd.concat(held, ignore_index=True)
+            for key, part in batch.groupby(["place", "conv_id"], sort=False):
+                if held and key != last:
+                    yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
                     held = []
                 held.append(part)
+                last = key
         if held:
-            yield pd.concat(held, ignore_index=True)
+            yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
 
     def observed(rows: pd.DataFrame) -> tuple[list, list[int], np.ndarray]:
         parsed = [parse(r, t) for r, t in zip(rows["role"], rows["text"], strict=True)]
@@ -178,13 +180,18 @@ def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFram
         return parsed, counts, hmm.steps(marks, features, fresh)
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
         for rows in stretches(batches):
             steps = observed(rows)[2]
             while len(steps) > 1:  # pairwise, as taking the best over the state between is associative
                 even = len(steps) // 2 * 2
                 joined = (steps[0:even:2, :, :, None] + steps[1:even:2, None, :, :]).max(axis=2)
                 steps = np.concatenate([joined, steps[even:]])
-            yield pd.DataFrame({"conv_id": rows["conv_id"][:1], "place": rows["place"][:1], "m": [steps[0].ravel().tolist()]})
+            out.append((rows["conv_id"].iloc[0], rows["place"].iloc[0], steps[0].ravel().tolist()))
+            if len(out) >= 2000:
+                yield pd.DataFrame(out, columns=["conv_id", "place", "m"])
+                out = []
+        yield pd.DataFrame(out, columns=["conv_id", "place", "m"])
 
     def borders(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         """States before and at the end of each stretch; one row for each partition at most."""
@@ -208,6 +215,8 @@ def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFram
     ordered = placed.join(ends, ["conv_id", "place"]).repartition("place").sortWithinPartitions("place", "at")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        names = ["conv_id", "turn", "part", "role", "text", "rendered"]
         for rows in stretches(batches):
             parsed, counts, steps = observed(rows)
             score = np.full(STATES, -np.inf)
@@ -221,7 +230,7 @@ def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFram
             for k in range(len(steps) - 1, -1, -1):
                 path[k] = state
                 state = int(back[k, state])
-            out, at = [], 0
+            at = 0
             for (lines, _, _), count, conv, turn in zip(parsed, counts, rows["conv_id"], rows["turn"], strict=True):
                 states = path[at : at + count]
                 at += count
@@ -229,7 +238,10 @@ def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFram
                 for part, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     role, text = ROLES[states[i]], "\n".join(lines[i:j]).strip()
                     out.append((conv, turn, part, role, text, f"<|{role}|>\n{text}\n<|end|>\n"))
-            yield pd.DataFrame(out, columns=["conv_id", "turn", "part", "role", "text", "rendered"])
+            if len(out) >= 2000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        yield pd.DataFrame(out, columns=names)
 
     turns = ordered.mapInPandas(decode, "conv_id long, turn long, part int, role string, text string, rendered string")
     return turns.withColumns({c: F.when(F.col(c) != missing, F.col(c)) for c in ("conv_id", "turn")})
