@@ -82,7 +82,7 @@ def bucket_components(
     prefilter: Callable[[str, str], Column] | None = None,
     detail: DataFrame | None = None,
     known: DataFrame | None = None,
-    extra_hubs: int = 2,
+    extra_hubs: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the graph whose links are the verified pairs that share a
     bucket of ``keys(bucket, id)``.
