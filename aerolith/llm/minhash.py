@@ -61,8 +61,8 @@ def minhashes(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
-#: Sketch: the low 4 bits of each minhash, packed into longs.
-SKETCH_BITS = 4
+#: Sketch: 8 bits of each minhash, packed into longs.
+SKETCH_BITS = 8
 
 
 def sketch_tolerance(hashes: int, similarity: float) -> int:
