@@ -220,6 +220,26 @@ def test_lines_find_what_the_method_defines(spark):
     assert {r["group_id"] for r in got} == set(want.values())
 
 
+def test_line_query_links_alike_lines(spark, tmp_path):
+    """One word changed, mostly more than 3 SimHash bits."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrst", k=6))
+    rows, pairs = [], []
+    for k in range(60):
+        words = [word() for _ in range(rng.choice([8, 12, 25, 50]))]
+        other = list(words)
+        other[rng.randrange(len(words))] = word()
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        if k % 4:  # apart from single lines, a line among others
+            rows[-1] = (2 * k + 1, word() + "\n" + rows[-1][1])
+        pairs.append((2 * k, 2 * k + 1))
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["line_no"]): r for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    last = {i: t.count("\n") for i, t in rows}
+    found = [got[a, 0]["group_id"] == got[b, last[b]]["group_id"] for a, b in pairs]
+    assert sum(found) >= 0.95 * len(found)
+
+
 def test_packing(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 130)) + f" t{i % 40}") for i in range(300)] + [(300, None), (301, " "), (None, "a b"), (302, "q " * 1000)]
