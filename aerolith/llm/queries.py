@@ -26,7 +26,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.fuzzy_lines(table(spark, sf_dir, "documents"), gram_bands=12)
+    return lines.fuzzy_lines(table(spark, sf_dir, "documents"), min_words=0, gram_bands=12)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

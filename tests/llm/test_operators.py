@@ -240,6 +240,17 @@ def test_line_query_links_alike_lines(spark, tmp_path):
     assert sum(found) >= 0.95 * len(found)
 
 
+def test_line_query_joins_short_repeats(spark, tmp_path):
+    """One word, two words, and text without spaces."""
+    rng = random.Random(12)
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(80))
+    rows = [(0, "and ornd"), (1, "And  ornd"), (2, "Page"), (3, "page\n\n"), (4, han), (5, han[:40] + "一" + han[41:])]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["line_no"]): r for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert {k for k, r in got.items() if not r["kept"]} == {(1, 0), (3, 0), (5, 0)}
+    assert got[3, 1]["group_id"] is None and got[3, 2]["group_id"] is None
+
+
 def test_packing(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 130)) + f" t{i % 40}") for i in range(300)] + [(300, None), (301, " "), (None, "a b"), (302, "q " * 1000)]
