@@ -31,7 +31,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.remove_repeated_spans(docs)
+    return spans.remove_repeated_spans(docs, **spans.FINE)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

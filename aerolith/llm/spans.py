@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from .storage import materialise
 #: Documents and sentences up to which the removals are broadcast (about 8 MB);
 #: beyond it the same join is shuffled.
 BROADCAST_DOCS, BROADCAST_SENTENCES = 100_000, 1_000_000
+#: Likewise the hashes of repeated spans (8 bytes each, some 50 in a hash table).
+BROADCAST_HASHES = 2_000_000
 
 #: A sentence ends after a run of terminators (and closing quotes) or a line end;
 #: white space after it belongs to it.  Joined, the sentences give the text back.
@@ -27,9 +30,53 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in SENTENCE.findall(text or "") if s]
 
 
-def span_table(words: list[int], span: int, min_words: int) -> list[tuple[int, int]]:
+#: What the queries take: sentences of over ``unit_words`` words are cut.
+FINE = {"min_words": 16, "unit_words": 16, "both_ends": True}
+#: One in so many neighbouring word pairs ends a unit in an overlong sentence.
+CUT_RATE = 6
+WORD = re.compile(r"\s*\S+\s*")
+
+
+def cuts(words: list[str], unit_words: int) -> list[int]:
+    """Where a sentence of over ``unit_words`` words is cut (0: never).  A cut depends
+    on the two words before it only, so a repeated passage is cut alike anywhere."""
+    if not unit_words or len(words) <= unit_words:
+        return []
+    pairs = (f"{a} {b}".encode("utf-8", "surrogatepass") for a, b in zip(words, words[1:], strict=False))
+    return [i for i, p in enumerate(pairs, 2) if i < len(words) and zlib.crc32(p) % CUT_RATE == 0]
+
+
+def unit_words_of(text: str | None, unit_words: int) -> list[list[str]]:
+    """Of each unit the lower-cased words; units without words are left out."""
+    out = []
+    for s in sentences(text):
+        words = s.lower().split()
+        edges = [0, *cuts(words, unit_words), len(words)]
+        out += [words[i:j] for i, j in zip(edges, edges[1:], strict=False) if i < j]
+    return out
+
+
+def units(text: str | None, unit_words: int) -> list[str]:
+    """The sentences, overlong ones cut; joined, they give the text back."""
+    out = []
+    for s in sentences(text):
+        edges = cuts(s.lower().split(), unit_words)
+        if edges:
+            tokens = WORD.findall(s)
+            out += ["".join(tokens[i:j]) for i, j in zip([0, *edges], [*edges, len(tokens)], strict=True)]
+        else:
+            out.append(s)
+    return out
+
+
+def span_table(words: list[int], span: int, min_words: int, both_ends: bool = False) -> list[tuple[int, int]]:
     """``(start, length)`` of the shortest run from each start that has ``span``
-    sentences and ``min_words`` words at least."""
+    sentences and ``min_words`` words at least; with ``both_ends`` also of the
+    shortest such run up to each end."""
+    if both_ends:
+        n = len(words)
+        back = span_table(words[::-1], span, min_words)
+        return sorted({*span_table(words, span, min_words), *((n - at - k, k) for at, k in back)})
     out, end, total = [], 0, 0
     for start in range(len(words)):
         while end < len(words) and (end - start < span or total < min_words):
@@ -42,7 +89,7 @@ def span_table(words: list[int], span: int, min_words: int) -> list[tuple[int, i
     return out
 
 
-def span_hashes(docs: DataFrame, span: int, min_words: int) -> DataFrame:
+def span_hashes(docs: DataFrame, span: int, min_words: int, unit_words: int, both_ends: bool) -> DataFrame:
     """``(id, tag, pos, len, h1, h2)``: every span with its 128-bit hash.
 
     ``tag`` tells different texts of one repeated id apart."""
@@ -51,9 +98,8 @@ def span_hashes(docs: DataFrame, span: int, min_words: int) -> DataFrame:
         for batch in batches:
             counts, pos, length, digests = [], [], [], []
             for text in batch.column(2).to_pylist():
-                words = [s.lower().split() for s in sentences(text)]
-                words = [w for w in words if w]
-                found = span_table(list(map(len, words)), span, min_words)
+                words = unit_words_of(text, unit_words)
+                found = span_table(list(map(len, words)), span, min_words, both_ends)
                 each = [xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
                 counts.append(len(found))
                 for start, n in found:
@@ -78,7 +124,8 @@ def span_hashes(docs: DataFrame, span: int, min_words: int) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 2, min_words: int = 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 2, min_words: int = 20,
+    unit_words: int = 0, both_ends: bool = False,
 ) -> DataFrame:
     """``(id, tag, drop)``: per text, the sentences to remove.
 
@@ -88,7 +135,12 @@ def repeated_spans(
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text")
     )
-    spans = span_hashes(source, span, min_words)
+    spans = span_hashes(source, span, min_words, unit_words, both_ends)
+    # most spans occur once: half the hash tells, and only the others are dealt in full
+    repeated = materialise(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
+    if repeated.count() <= BROADCAST_HASHES:
+        repeated = F.broadcast(repeated)
+    spans = materialise(spans.join(repeated, "h1", "left_semi").select("id", "tag", "pos", "len", "h1", "h2"))
     place = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "tag", "pos")
     seen = (
         spans.withColumn("place", place)
@@ -104,13 +156,16 @@ def repeated_spans(
 
 
 def remove_repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 2, min_words: int = 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 2, min_words: int = 20,
+    unit_words: int = 0, both_ends: bool = False,
 ) -> DataFrame:
     """``docs`` without the sentences that a repeated span covers, plus
     ``removed_sentences`` and ``removed_words``; the other columns stay.
 
     A span is the shortest run of sentences from its start that has ``span``
-    sentences and ``min_words`` words; spans are equal when their lower-cased words
+    sentences and ``min_words`` words; with ``both_ends`` the shortest such run up to
+    each end is one too.  With ``unit_words`` a longer sentence is cut at places that
+    its words define, and its parts count as sentences.  Spans are equal when their lower-cased words
     are (compared by 128-bit hash).  All spans of all texts are compared.
 
     Defined cases: null text stays null with nothing removed; texts with fewer
@@ -119,7 +174,7 @@ def remove_repeated_spans(
     occurrence and change alike; an empty table gives an empty result; columns of
     ``docs`` called as the two added ones are replaced.
     """
-    drops = materialise(repeated_spans(docs, id_col, text_col, span, min_words))
+    drops = materialise(repeated_spans(docs, id_col, text_col, span, min_words, unit_words, both_ends))
     size = drops.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("drop")), F.lit(0)).alias("s")).first()
     if size["n"] <= BROADCAST_DOCS and size["s"] <= BROADCAST_SENTENCES:
         drops = F.broadcast(drops)
@@ -130,7 +185,11 @@ def remove_repeated_spans(
         "__tag", F.xxhash64(text_col)
     )
     joined = tagged.join(drops, ["__id", "__tag"], "left")
-    cut = F.pandas_udf(cut_sentences, "text string, removed_sentences int, removed_words int")(text_col, "__drop")
+
+    def cut_batch(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
+        return cut_sentences(text, drop, unit_words)
+
+    cut = F.pandas_udf(cut_batch, "text string, removed_sentences int, removed_words int")(text_col, "__drop")
     return joined.withColumn("__cut", cut).select(
         *[
             (F.when(F.col(text_col).isNotNull(), F.col("__cut.text")).alias(c) if c == text_col else F.col(c))
@@ -142,7 +201,7 @@ def remove_repeated_spans(
     )
 
 
-def cut_sentences(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
+def cut_sentences(text: pd.Series, drop: pd.Series, unit_words: int = 0) -> pd.DataFrame:
     """The texts without the sentences whose numbers ``drop`` holds; blank stretches
     have no number and stay."""
     out = []
@@ -151,7 +210,7 @@ def cut_sentences(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
             out.append((t, 0, 0))
             continue
         gone, kept, words, at = set(gone.tolist()), [], 0, 0
-        for s in sentences(t):
+        for s in units(t, unit_words):
             n = len(s.split())
             if n and at in gone:
                 words += n

@@ -26,7 +26,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated spans are cut out; n_chars follows the text."""
-    cut = spans.remove_repeated_spans(docs)
+    cut = spans.remove_repeated_spans(docs, **spans.FINE)
     changed = F.when(F.col("removed_sentences") > 0, F.char_length("text").cast("long"))
     return cut.withColumn("n_chars", F.coalesce(changed, F.col("n_chars"))).select(*docs.columns)
 

@@ -179,6 +179,26 @@ def test_spans_match_brute_force(spark):
     assert spans.remove_repeated_spans(docs_of(spark, [])).count() == 0
 
 
+def test_span_query_leaves_no_repeated_window(spark, tmp_path):
+    """Passages with one whole sentence or none, inside longer sentences too, and a short stretch at the end of one."""
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n))
+    passages = [words(73), words(20) + ". " + words(12) + ". " + words(25), words(30) + ". " + words(29) + ". " + words(6) + ". "]
+    rows = [(k, f"  {words(9)}. {words(7)} {passages[k % 3]} {words(9)}. {words(14)}!\n\n") for k in range(12)]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op4_substring_dedup(spark, str(tmp_path)).collect()}
+    seen = set()
+    for k, t in rows:
+        windows = {tuple(w[i : i + 50]) for w in [got[k]["text"].lower().split()] for i in range(len(w) - 49)}
+        assert not windows & seen
+        seen |= windows
+        assert got[k]["text"] == t if k < 3 else got[k]["removed_words"] > 25
+        assert len(got[k]["text"].split()) + got[k]["removed_words"] == len(t.split())
+    for t in [t for _, t in rows] + ["", " \x1c a\u2003b " + "c " * 90, "Σ" * 3 + " x" * 40 + " ß.\n y"]:
+        assert "".join(spans.units(t, 16)) == t
+        assert [u.lower().split() for u in spans.units(t, 16) if u.split()] == spans.unit_words_of(t, 16)
+
+
 def test_lines(spark):
     rng = random.Random(6)
     base = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(40)) for _ in range(6)]
