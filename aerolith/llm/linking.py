@@ -91,8 +91,9 @@ def bucket_components(
     verified against two hubs (smallest and largest id).  Members that the hubs
     already join need no further link among themselves; only pairs of one bucket
     whose components still differ after ``extra_hubs`` more hubs are verified in a
-    last pass.  No component is
-    lost, since every pair that could join two components is verified.
+    last pass.  Without
+    ``prefilter`` no component is lost, since every pair that could join two components
+    is verified; with one, a link that it rejects can be.
 
     ``verify`` takes distinct ``(a, b)`` and returns those that are links;
     ``prefilter(left, right)`` gives a join condition on the columns of ``detail(id,
