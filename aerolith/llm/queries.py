@@ -22,6 +22,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capacity and ``n_tokens`` count white-space words."""
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, source_col="source")
 
 
