@@ -170,18 +170,23 @@ class Codec:
             data = data[len(MARK) :]
         return data.decode("utf-8", "one_mark_per_byte").replace(SPACE, " ")
 
-    def verify(self, texts: list[str], ids: list[list[int]]) -> None:
-        """Raises where the library gives other ids for one of ``texts``."""
+    def verify(self, texts: list[str], ids: list[list[int]], decoded: list[str] | None = None) -> None:
+        """Raises where the library gives other ids for one of ``texts``, or another
+        text for one of ``ids`` than ``decoded`` has."""
         for text, own, theirs in zip(texts, ids, self.library.encode(texts, add_bos=True, add_eos=True), strict=True):
             if own != theirs:
                 raise AssertionError(f"ids differ from the library's for a text of {len(text)} characters: {text[:80]!r}")
+        if decoded is not None:
+            for own, theirs in zip(decoded, self.library.decode(ids), strict=True):
+                if own != theirs:
+                    raise AssertionError(f"the library decodes another text of {len(theirs)} characters: {theirs[:80]!r}")
 
 
 def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True) -> DataFrame:
     """``doc_id, ids array<int>, decoded`` for every row of ``docs``.
 
-    With ``check`` every text of every Arrow batch is also encoded by the
-    sentencepiece library and a difference fails the task.  Defined cases: null is
+    With ``check`` every text of every Arrow batch is also encoded, and its ids
+    decoded, by the sentencepiece library and a difference fails the task.  Defined cases: null is
     encoded as the empty text (begin and end ids only); very long texts without
     spaces are one unit, merged in n log n; null ids and repeated rows are carried
     along; an empty table gives an empty result; further columns are not read.
@@ -194,12 +199,13 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
                 part = batch.slice(start, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = [codec.encode(t) for t in texts]
+                decoded = [codec.decode(x) for x in ids]
                 if check:
-                    codec.verify(texts, ids)
+                    codec.verify(texts, ids, decoded)
                 lens = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, lens[-1]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(lens), flat), pa.array([codec.decode(x) for x in ids], pa.string())],
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(lens), flat), pa.array(decoded, pa.string())],
                     ["doc_id", "ids", "decoded"],
                 )
 

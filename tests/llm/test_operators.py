@@ -271,6 +271,15 @@ def test_line_query_joins_short_repeats(spark, tmp_path):
     assert got[3, 1]["group_id"] is None and got[3, 2]["group_id"] is None
 
 
+def test_pieces_verify_decoding():
+    codec = pieces.codec_for(queries.PIECES)
+    texts = ["", "one  two", "naïve 漢字 \x00\U0001F600"]
+    ids = [codec.encode(t) for t in texts]
+    codec.verify(texts, ids, [codec.decode(x) for x in ids])
+    with pytest.raises(AssertionError):
+        codec.verify(texts, ids, ["", "one two", codec.decode(ids[2])])
+
+
 def test_packing(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 130)) + f" t{i % 40}") for i in range(300)] + [(300, None), (301, " "), (None, "a b"), (302, "q " * 1000)]
