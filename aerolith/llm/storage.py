@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where
-    that setting is absent (single-machine tests)."""
+    """A folder of this application under the session's ``spark.checkpoint.dir``.
+
+    Only a single-machine session (``local[...]``) may leave that setting out; it gets
+    a temporary folder.  On a cluster each executor would write to its own disk."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="aerolith-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return f"{folder.rstrip('/')}/aerolith-{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -24,6 +29,14 @@ def materialise(df: DataFrame) -> DataFrame:
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
     several consumers scan (with column pruning) instead of recomputing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/aerolith-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes what this application has written there: call it once the results that
+    read those tables have been written themselves."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

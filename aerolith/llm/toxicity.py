@@ -10,28 +10,43 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"\w+")
-#: Labelled rows that the model is fitted on, at most (about 3 kB of text each).
-TRAIN_ROWS = 6_000
+#: The model is fitted on at most so many labelled rows, and on whole texts of so many
+#: characters together: the bounds of the one task that trains.
+TRAIN_ROWS, TRAIN_CHARS = 6_000, 32_000_000
+#: Writing without spaces makes one run of a whole passage; a run of more than RUN
+#: characters counts as words of PART, which overlap so that no n-gram is lost.
+RUN, PART, OVERLAP = 32, 16, 4
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 5
 MASK = BUCKETS - 1
 #: Word scores a Python worker keeps, over all its tasks; emptied when full.
 MEMO_WORDS = 400_000
 
 
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words of a whole text, long runs in overlapping parts."""
+    out = []
+    for run in WORD.findall((text or "").lower()):
+        if len(run) <= RUN:
+            out.append(run)
+        else:
+            out += [run[at : at + PART] for at in range(0, len(run) - OVERLAP, PART - OVERLAP)]
+    return out
+
+
 def subwords(word: str) -> list[int]:
     """Buckets of a word's n-grams (3 to 5 bytes) and of the word itself, so
     that an unseen spelling shares vectors with the seen ones."""
     w = f"<{word}>".encode("utf-8", "surrogatepass")
-    short = w[:80]  # a run of letters beyond any word's length has few n-grams more
-    crc, n = zlib.crc32, len(short)
-    grams = [crc(short[i : i + 3]) & MASK for i in range(n - 2)]
-    grams += [crc(short[i : i + 4]) & MASK for i in range(n - 3)]
-    grams += [crc(short[i : i + 5]) & MASK for i in range(n - 4)]
+    crc, n = zlib.crc32, len(w)
+    grams = [crc(w[i : i + 3]) & MASK for i in range(n - 2)]
+    grams += [crc(w[i : i + 4]) & MASK for i in range(n - 3)]
+    grams += [crc(w[i : i + 5]) & MASK for i in range(n - 4)]
     grams.append(crc(w) & MASK)
     return grams
 
@@ -72,7 +87,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 10, seed: int = 7) -
     multiple-instance learning)."""
     rng = np.random.default_rng(seed)
     vocab: dict[str, int] = {}
-    docs = [np.array([vocab.setdefault(w, len(vocab)) for w in WORD.findall(t.lower())], np.int32) for t in texts]
+    docs = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], np.int32) for t in texts]
     numbers, lengths = array("i"), array("i", [0])  # packed: a corpus has many words
     for word in vocab:
         found = subwords(word)
@@ -130,16 +145,40 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fits on at most ``rows`` labelled texts that are not held out, chosen by a
-    hash of the id.  Whole texts are used."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic")
-    picked = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    data = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").toPandas()
-    data = data.sort_values(["doc_id", "text"], kind="stable")
-    if not len(data):
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
+    """Fits on at most ``rows`` labelled texts that are not held out, taken in the order
+    of a hash of the id until whole texts of ``chars`` characters are together.
+
+    One task of an executor trains, so the driver gets the model alone (4 MB).  A
+    document with conflicting labels counts as toxic; null labels and ids, and labels
+    other than 0 and 1, teach nothing; with no label left, every score is 0.5."""
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    data = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    order = F.xxhash64("doc_id").alias("place")
+    data = data.select(order, "doc_id", "text", "toxic").distinct().repartition(1).sortWithinPartitions("place", "doc_id", "text")
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts: list[str] = []
+        marks: list[int] = []
+        left = chars
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+                left -= len(text)
+                if len(texts) < rows and (left >= 0 or not texts):
+                    texts.append(text)
+                    marks.append(toxic)
+        if texts:
+            m = fit(texts, np.array(marks, np.int64))
+            parts = (m.embeddings, m.weights.astype(np.float32), m.bias.astype(np.float32))
+            yield pd.DataFrame({"k": range(3), "part": [p.tobytes() for p in parts]})
+
+    parts = [bytes(r["part"]) for r in sorted(data.mapInPandas(learn, "k int, part binary").collect())]
+    if not parts:
         return Model(np.zeros((BUCKETS, DIM), np.float32), np.zeros((DIM, 2)), np.zeros(2))
-    return fit(data["text"].tolist(), data["toxic"].to_numpy(np.int64))
+    arrays = [np.frombuffer(p, np.float32) for p in parts]
+    return Model(arrays[0].reshape(BUCKETS, DIM), arrays[1].reshape(DIM, 2), arrays[2])
 
 
 _state: dict[str, tuple[float, list[float], dict[str, float]]] = {}
@@ -154,6 +193,21 @@ def worker_state(shared) -> tuple[float, list[float], dict[str, float]]:
     return _state[model.name]
 
 
+def probabilities(texts: list[str | None], shared) -> np.ndarray:
+    """Scores of a batch of whole texts."""
+    offset, logits_of, memo = worker_state(shared)
+    logits = np.empty(len(texts))
+    for k, text in enumerate(texts):
+        words = words_of(text)
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        for word in set(words).difference(memo):
+            memo[word] = word_logit(word, logits_of)
+        each = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
+        logits[k] = offset + (best_window(each, WINDOW)[1] if words else 0.0)
+    return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
@@ -167,33 +221,34 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offset, logits_of, memo = worker_state(shared)
         for batch in batches:
-            logits = []
-            for text in batch.column(2).to_pylist():
-                words = WORD.findall((text or "").lower())
-                if not words:
-                    logits.append(offset)
-                    continue
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                for word in set(words).difference(memo):
-                    memo[word] = word_logit(word, logits_of)
-                each = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
-                logits.append(offset + best_window(each, WINDOW)[1])
-            p = 1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500)))
+            p = probabilities(batch.column(2).to_pylist(), shared)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text").mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int"
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, training_docs: DataFrame | None = None) -> DataFrame:
-    """``docs`` without those predicted toxic; all columns stay."""
-    scored = score(docs, train(docs if training_docs is None else training_docs, labels))
-    gone = scored.where("predicted = 1").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, training_docs: DataFrame | None = None, text_col: str = "text", threshold: float = 0.3
+) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``; all columns stay.
+
+    Each row goes or stays by its own text (rows that repeat an id with other texts are
+    judged one by one); null and empty texts score as an empty bag; the schema, whatever
+    its column names, and an empty table stay as they are.  Rows pass through the
+    scoring task with their columns, so nothing is shuffled."""
+    model = train(docs if training_docs is None else training_docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = probabilities(batch.column(at).to_pylist(), shared)
+            yield batch.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)

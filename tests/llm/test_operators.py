@@ -352,7 +352,7 @@ def test_toxicity_ranks_held_out_rows():
     logits = model.bucket_logits()
 
     def score(text):
-        words = toxicity.WORD.findall(text.lower())
+        words = toxicity.words_of(text)
         return toxicity.best_window(np.array([toxicity.word_logit(w, logits) for w in words]), toxicity.WINDOW)[1] if words else 0
 
     s, y = np.array([score(r[1]) for r in unseen]), np.array([r[2] for r in unseen])
