@@ -79,76 +79,70 @@ def connected_components(links: DataFrame) -> DataFrame:
 def bucket_components(
     keys: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    prefilter: Callable[[str, str], Column] | None = None,
+    condition: Callable[[str, str], Column] | None = None,
     detail: DataFrame | None = None,
     known: DataFrame | None = None,
-    extra_hubs: int = 0,
+    coarse: DataFrame | None = None,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the graph whose links are the verified pairs that share a
-    bucket of ``keys(bucket, id)``.
+    bucket of ``keys(bucket, id, weight)``.
 
     A large bucket is not expanded into all its pairs.  Its members are first
-    verified against two hubs (smallest and largest id).  Members that the hubs
-    already join need no further link among themselves; only pairs of one bucket
-    whose components still differ after ``extra_hubs`` more hubs are verified in a
-    last pass.  Without
-    ``prefilter`` no component is lost, since every pair that could join two components
-    is verified; with one, a link that it rejects can be.
+    verified against two hubs, the member of the largest weight and the one of the
+    smallest id.  Members that the hubs already join need no further link among
+    themselves; only pairs of one bucket whose components still differ are verified
+    in a last pass.  No link between components is lost, but for pairs that
+    ``condition`` rejects.
 
     ``verify`` takes distinct ``(a, b)`` and returns those that are links;
-    ``prefilter(left, right)`` gives a join condition on the columns of ``detail(id,
-    ...)``, which the second pass is joined with; ``known(a, b)`` are links given beforehand.  Returns ``(links(a, b), components(id, component))``.
+    ``condition(left, right)`` is a necessary condition of a link on the columns of
+    ``detail(id, ...)``; ``coarse(bucket, id, ...)`` are fewer and larger buckets that the
+    last pass joins instead (``condition`` then says whether two rows share one of
+    ``keys``); ``narrow`` takes the rows ``(bucket, id, component)``, with any
+    further columns, and returns those that can have a link to another
+    component of their bucket; ``known(a, b)`` are links given beforehand.  Returns
+    ``(links(a, b), components(id, component))``.
     """
-    sizes = (
+    if "weight" not in keys.columns:
+        keys = keys.withColumn("weight", F.lit(0))
+    hubs = (
         keys.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        .agg(
+            F.min("id").alias("lo"),
+            F.max("id").alias("hi"),
+            F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best"),
+        )
         .where("lo < hi")
+        .select("bucket", "lo", (-F.col("best.minus")).alias("best"))
     )
-    members = materialise(keys.join(sizes.drop("n"), "bucket").select("bucket", "id", "lo", "hi"))
-    hubs = members.select(F.col("lo").alias("a"), F.col("id").alias("b")).union(
-        members.select(F.col("id").alias("a"), F.col("hi").alias("b"))
+    members = materialise(keys.join(hubs, "bucket").drop("weight"))
+    asked = members.select(F.least("lo", "id").alias("a"), F.greatest("lo", "id").alias("b")).union(
+        members.select(F.least("best", "id").alias("a"), F.greatest("best", "id").alias("b"))
     )
-    first = verify(hubs.where("a < b").distinct())
+    first = verify(asked.where("a < b").distinct())
     first = materialise(first if known is None else first.union(known))
     found = connected_components(first)
 
-    def differing(found: DataFrame) -> DataFrame:
-        """Members of the buckets that hold more than one component."""
-        labelled = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = (
-            labelled.groupBy("bucket")
-            .agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-            .where("c0 < c1")
-            .select("bucket")
-        )
-        return labelled.join(mixed, "bucket", "left_semi")
-
-    # further hubs, chosen by hash, gather what the first ones missed: the fewer
-    # components are left, the fewer pairs have to be formed
-    for turn in range(extra_hubs):
-        rest = materialise(differing(found))
-        if rest.isEmpty():
-            return first, found
-        hub = rest.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")).alias("hub"))
-        asked = rest.join(hub, "bucket").where("component != hub.component")
-        asked = asked.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        more = materialise(verify(asked))
-        if not more.isEmpty():
-            first = first.union(more)
-            found = connected_components(first)
-    rest = differing(found)
-    rest = materialise(rest if detail is None else rest.join(detail, "id"))
+    rest = members if coarse is None else coarse
+    rest = rest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    if narrow is None:
+        mixed = rest.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+        rest = rest.join(mixed.where("c0 < c1").select("bucket"), "bucket", "left_semi")
+    else:
+        rest = narrow(rest)
+    rest = materialise(rest if detail is None else rest.join(detail, [c for c in ("id", "sid") if c in rest.columns and c in detail.columns]))
     left, right = rest.alias("l"), rest.alias("r")
-    condition = (
+    meet = (
         (F.col("l.bucket") == F.col("r.bucket"))
         & (F.col("l.id") < F.col("r.id"))
         & (F.col("l.component") != F.col("r.component"))
-        & (F.col("l.id") != F.col("l.lo"))
-        & (F.col("r.id") != F.col("r.hi"))
     )
-    if prefilter is not None:
-        condition = condition & prefilter("l", "r")
-    pairs = left.join(right, condition).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    for hub in ("lo", "best") if coarse is None else ():  # those pairs have been verified
+        meet = meet & (F.col("l.id") != F.col(f"l.{hub}")) & (F.col("r.id") != F.col(f"r.{hub}"))
+    if condition is not None:
+        meet = meet & condition("l", "r")
+    pairs = left.join(right, meet).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     second = materialise(verify(pairs.distinct()))
     links = first.union(second)
     if second.isEmpty():
