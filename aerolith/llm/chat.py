@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialise
@@ -47,14 +47,13 @@ def feature(line: str, first: bool) -> int:
     return ((int(first) * 2 + ("?" in line)) * 4 + size) * 2 + int(mark)
 
 
-def parse(role: str | None, text: str | None) -> tuple[list[str], list[int], list[int]]:
+def parse(text: str | None) -> tuple[list[str], list[int], list[int]]:
     """Lines of one row without their markers, the role each marker names (-1: none)
-    and the feature of each line.  The row's own role marks its first line, unless
-    that line has a marker in its text."""
+    and the feature of each line."""
     lines, marks, features = [], [], []
     for k, line in enumerate((text or "").split("\n")):
         m = MARKER.match(line)
-        marks.append(named_role(m.group(1)) if m else named_role(role) if k == 0 else -1)
+        marks.append(named_role(m.group(1)) if m else -1)
         line = line[m.end() :] if m else line
         lines.append(line)
         features.append(feature(line, k == 0 or m is not None))
@@ -80,8 +79,13 @@ class Hmm:
         return move + emission[:, None, :]
 
 
+def learns(conv_id: str = "conv_id") -> Column:
+    """Conversations whose roles are read for training: a quarter, by a hash of the id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(conv_id).cast("string").cast("binary")), F.lit(4)) == 0, F.lit(False))
+
+
 def train(conversations: DataFrame) -> Hmm:
-    """Counts turns and line features where the row's role is known, over all rows.
+    """Counts turns and line features where the row's role is known, over all rows given.
 
     What comes to the driver are two tables of fixed size (9 and 96 counts)."""
     role = F.lower(F.trim("role"))
@@ -101,7 +105,7 @@ def train(conversations: DataFrame) -> Hmm:
         for batch in batches:
             counts = np.zeros((len(ROLES), FEATURES), np.int64)
             for role, text in zip(batch["role"], batch["text"], strict=True):
-                _, marks, features = parse(None, text)
+                _, marks, features = parse(text)
                 if max(marks) < 0:  # rows of a single speaker
                     np.add.at(counts[ROLES.index(role)], features, 1)
             r, f = counts.nonzero()
@@ -118,130 +122,170 @@ def train(conversations: DataFrame) -> Hmm:
     )
 
 
+def stretches(frame: pd.DataFrame) -> np.ndarray:
+    """Where rows of another conversation begin."""
+    conv = frame["conv_id"].to_numpy()
+    return np.flatnonzero(np.concatenate([[True], conv[1:] != conv[:-1]]))
+
+
+def observed(hmm: Hmm, frame: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray]:
+    """The parsed rows, the first line of each row (and the number of lines), the steps."""
+    parsed = [parse(t) for t in frame["text"]]
+    edges = np.cumsum([0, *(len(p[0]) for p in parsed)])
+    fresh = np.zeros(edges[-1], bool)
+    fresh[edges[:-1]] = True
+    marks, features = (np.array([x for p in parsed for x in p[k]], np.int64) for k in (1, 2))
+    return parsed, edges, hmm.steps(marks, features, fresh)
+
+
+def best_paths(steps: np.ndarray, starts: np.ndarray, lens: np.ndarray, enter: np.ndarray, leave: np.ndarray) -> np.ndarray:
+    """Viterbi over many stretches at once: the state of every line.  ``enter`` is the
+    state before a stretch, ``leave`` the one at its end (-1: the best)."""
+    order = np.argsort(-lens, kind="stable")
+    starts, lens = starts[order], lens[order]
+    score = np.full((len(lens), STATES), -np.inf)
+    score[np.arange(len(lens)), enter[order]] = 0.0
+    back = np.empty((len(steps), STATES), np.int8)
+    live = np.searchsorted(-lens, -np.arange(lens[0]), side="left") if len(lens) else []
+    for t, k in enumerate(live):  # the k longest have a line t
+        total = score[:k, :, None] + steps[starts[:k] + t]
+        back[starts[:k] + t] = total.argmax(axis=1)
+        score[:k] = total.max(axis=1)
+    state = np.where(leave[order] >= 0, leave[order], score.argmax(axis=1))
+    path = np.empty(len(steps), np.int8)
+    for t in range(len(live) - 1, -1, -1):
+        at = starts[: live[t]] + t
+        path[at] = state[: live[t]]
+        state[: live[t]] = back[at, state[: live[t]]]
+    return path
+
+
+def borders(segments: list[tuple]) -> dict[tuple, tuple[int, int]]:
+    """``{(place, conv_id): (enter, leave)}`` on the best path of each conversation, from
+    the ``(conv_id, place, matrix)`` of its stretches."""
+    out = {}
+    by_conv: dict[int, list] = {}
+    for conv, place, m in sorted(segments, key=lambda s: s[:2]):
+        by_conv.setdefault(conv, []).append((place, np.array(m).reshape(STATES, STATES)))
+    for conv, parts in by_conv.items():
+        score = np.full(STATES, -np.inf)
+        score[START] = 0.0
+        back = []
+        for _, m in parts:
+            total = score[:, None] + m
+            back.append(total.argmax(axis=0))
+            score = total.max(axis=0)
+        state = int(score.argmax())
+        for (place, _), b in zip(reversed(parts), reversed(back), strict=True):
+            out[place, conv] = (int(b[state]), state)
+            state = int(b[state])
+    return out
+
+
 def format_chats(conversations: DataFrame, model: Hmm | None = None) -> DataFrame:
     """Turns of all conversations with recovered roles, rendered canonically.
 
-    Each row's text is parsed into lines; speaker markers (the ``role`` column or a
-    name at a line's start) and line features are what a hidden Markov model over
-    system, user and assistant emits.  Its most likely path (Viterbi) gives each
-    line's role; consecutive lines of a row with one role are a turn, rendered as
-    ``<|role|>``, the text and ``<|end|>`` on lines of their own.
+    Each row's text is parsed into lines; speaker markers (a name at a line's start) and
+    line features are what a hidden Markov model over system, user and assistant emits.
+    Its most likely path (Viterbi) gives each line's role; consecutive lines of a row
+    with one role are a turn, rendered as ``<|role|>``, the text and ``<|end|>`` on lines
+    of their own.  The ``role`` column is no emission: it is read only to train the
+    model, on the quarter of the conversations that ``learns`` names, if none is given.
 
-    A conversation is never gathered: rows are range-partitioned by (conv_id, turn),
-    every partition reduces each conversation in it to one roles x roles matrix, a
-    conversation's matrices (one for each partition it lies in) give the roles at
-    their borders, and the path inside follows partition by partition.  The result is
-    the path that Viterbi finds over the whole conversation.
+    A conversation is never gathered: rows are range-partitioned by (conv_id, turn).  A
+    partition's first and last conversations may go on in others; their stretches are
+    reduced to one roles x roles matrix each, and the matrices, at most two for each
+    partition, give the roles at the borders.  The result is the path that Viterbi finds
+    over the whole conversation.
 
     Returns ``conv_id, turn, part, role, text, rendered``.  Defined cases: null text
-    is one empty line; unknown or null roles mark nothing and are recovered; null
-    conv_id counts as one conversation, null turn sorts first; ties in turn go by
-    text; repeated rows each give their turns; an empty table gives an empty result;
-    further columns are not read.
+    is one empty line; null conv_id counts as one conversation, null turn sorts first;
+    ties in turn go by a hash of the text; repeated rows each give their turns; an empty
+    table gives an empty result; further columns are not read.
     """
-    hmm = model or train(conversations)
+    hmm = model or train(conversations.where(learns()))
     missing = F.lit(MISSING)
     rows = conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), missing).alias("conv_id"),
         F.coalesce(F.col("turn").cast("long"), missing).alias("turn"),
-        "role",
         "text",
     )
     # the text's hash splits a conversation even where its turns are not numbered
     order = ["conv_id", "turn", F.xxhash64("text")]
     placed = materialise(
         rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order, "role")
+        .sortWithinPartitions(*order)
         .withColumn("place", F.spark_partition_id())
         .withColumn("at", F.monotonically_increasing_id())
     )
-    segments = placed.repartition("place").sortWithinPartitions("place", "at")
+    # two conversations for each partition come to the driver, whatever the rows
+    ends = placed.groupBy("place").agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).collect()
+    places: dict[int, set[int]] = {}
+    for e in ends:
+        for conv in (e["lo"], e["hi"]):
+            places.setdefault(conv, set()).add(e["place"])
+    cut = [(place, conv) for conv, where in places.items() if len(where) > 1 for place in where]
 
-    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The rows of one conversation in one place, however batches cut them."""
-        held: list[pd.DataFrame] = []
-        last = None
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One matrix for each place and conversation; batches come in order."""
+        held: dict[tuple, np.ndarray] = {}
         for batch in batches:
             for key, part in batch.groupby(["place", "conv_id"], sort=False):
-                if held and key != last:
-                    yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
-                    held = []
-                held.append(part)
-                last = key
-        if held:
-            yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
-
-    def observed(rows: pd.DataFrame) -> tuple[list, list[int], np.ndarray]:
-        parsed = [parse(r, t) for r, t in zip(rows["role"], rows["text"], strict=True)]
-        counts = [len(p[0]) for p in parsed]
-        fresh = np.zeros(sum(counts), bool)
-        fresh[np.cumsum([0, *counts[:-1]])] = True
-        marks, features = (np.array([x for p in parsed for x in p[k]]) for k in (1, 2))
-        return parsed, counts, hmm.steps(marks, features, fresh)
-
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        for rows in stretches(batches):
-            steps = observed(rows)[2]
-            while len(steps) > 1:  # pairwise, as taking the best over the state between is associative
-                even = len(steps) // 2 * 2
-                joined = (steps[0:even:2, :, :, None] + steps[1:even:2, None, :, :]).max(axis=2)
-                steps = np.concatenate([joined, steps[even:]])
-            out.append((rows["conv_id"].iloc[0], rows["place"].iloc[0], steps[0].ravel().tolist()))
-            if len(out) >= 2000:
-                yield pd.DataFrame(out, columns=["conv_id", "place", "m"])
-                out = []
-        yield pd.DataFrame(out, columns=["conv_id", "place", "m"])
-
-    def borders(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        """States before and at the end of each stretch; one row for each partition at most."""
-        parts = parts.sort_values("place")
-        score = np.full(STATES, -np.inf)
-        score[START] = 0.0
-        back = []
-        for m in parts["m"]:
-            total = score[:, None] + np.array(m).reshape(STATES, STATES)
-            back.append(total.argmax(axis=0))
-            score = total.max(axis=0)
-        state = int(score.argmax())
-        out = []
-        for place, b in zip(parts["place"][::-1], reversed(back), strict=True):
-            out.append((parts["conv_id"].iloc[0], place, int(b[state]), state))
-            state = int(b[state])
-        return pd.DataFrame(out, columns=["conv_id", "place", "enter", "leave"])
-
-    matrices = segments.mapInPandas(reduce, "conv_id long, place int, m array<double>")
-    ends = matrices.groupBy("conv_id").applyInPandas(borders, "conv_id long, place int, enter int, leave int")
-    ordered = placed.join(ends, ["conv_id", "place"]).repartition("place").sortWithinPartitions("place", "at")
+                steps = observed(hmm, part)[2]
+                if key in held:
+                    steps = np.concatenate([held[key][None], steps])
+                while len(steps) > 1:  # pairwise, as taking the best over the state between is associative
+                    even = len(steps) // 2 * 2
+                    joined = (steps[0:even:2, :, :, None] + steps[1:even:2, None, :, :]).max(axis=2)
+                    steps = np.concatenate([joined, steps[even:]])
+                held[key] = steps[0]
+        yield pd.DataFrame([(c, p, m.ravel().tolist()) for (p, c), m in held.items()], columns=["conv_id", "place", "m"])
+
+    known: dict[tuple, tuple[int, int]] = {}
+    if cut:
+        wanted = conversations.sparkSession.createDataFrame(cut, "place int, conv_id long")
+        across = placed.join(F.broadcast(wanted), ["place", "conv_id"]).repartition("place").sortWithinPartitions("place", "at")
+        known = borders([tuple(r) for r in across.mapInPandas(reduce, "conv_id long, place int, m array<double>").collect()])
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        names = ["conv_id", "turn", "part", "role", "text", "rendered"]
-        for rows in stretches(batches):
-            parsed, counts, steps = observed(rows)
-            score = np.full(STATES, -np.inf)
-            score[rows["enter"].iloc[0]] = 0.0
-            back = np.empty((len(steps), STATES), np.int8)
-            for k, step in enumerate(steps):
-                total = score[:, None] + step
-                back[k] = total.argmax(axis=0)
-                score = total.max(axis=0)
-            state, path = int(rows["leave"].iloc[0]), np.empty(len(steps), np.int8)
-            for k in range(len(steps) - 1, -1, -1):
-                path[k] = state
-                state = int(back[k, state])
-            at = 0
-            for (lines, _, _), count, conv, turn in zip(parsed, counts, rows["conv_id"], rows["turn"], strict=True):
-                states = path[at : at + count]
-                at += count
-                cuts = [0, *(np.flatnonzero(np.diff(states)) + 1).tolist(), count]
-                for part, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    role, text = ROLES[states[i]], "\n".join(lines[i:j]).strip()
-                    out.append((conv, turn, part, role, text, f"<|{role}|>\n{text}\n<|end|>\n"))
-            if len(out) >= 2000:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        yield pd.DataFrame(out, columns=names)
-
+        held: pd.DataFrame | None = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            while len(places_in := held["place"].unique()) > 1:  # a task can hold several places
+                inside = held["place"] == places_in[0]
+                yield rendered(held[inside].reset_index(drop=True))
+                held = held[~inside].reset_index(drop=True)
+            last = stretches(held)[-1]
+            if last >= 5_000:  # all but the last conversation is complete
+                yield rendered(held[:last])
+                held = held[last:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield rendered(held)
+
+    def rendered(frame: pd.DataFrame) -> pd.DataFrame:
+        parsed, edges, steps = observed(hmm, frame)
+        first = stretches(frame)
+        starts = edges[first]
+        lens = np.diff(np.append(starts, edges[-1]))
+        keys = zip(frame["place"].to_numpy()[first].tolist(), frame["conv_id"].to_numpy()[first].tolist(), strict=True)
+        sides = np.array([known.get(key, (START, -1)) for key in keys])
+        path = best_paths(steps, starts, lens, sides[:, 0], sides[:, 1])
+        turned = np.concatenate([[True], path[1:] != path[:-1]])
+        turned[edges[:-1]] = True
+        at = np.flatnonzero(turned)
+        row = np.searchsorted(edges, at, side="right") - 1
+        part = np.arange(len(at)) - np.searchsorted(at, edges[row])
+        until = np.append(at[1:], edges[-1])
+        lines = [line for p in parsed for line in p[0]]
+        texts = ["\n".join(lines[i:j]).strip() for i, j in zip(at.tolist(), until.tolist(), strict=True)]
+        roles = [ROLES[k] for k in path[at].tolist()]
+        return pd.DataFrame(
+            {
+                "conv_id": frame["conv_id"].to_numpy()[row], "turn": frame["turn"].to_numpy()[row], "part": part, "role": roles,
+                "text": texts, "rendered": [f"<|{r}|>\n{t}\n<|end|>\n" for r, t in zip(roles, texts, strict=True)],
+            }
+        )
+
+    ordered = placed.repartition("place").sortWithinPartitions("place", "at")
     turns = ordered.mapInPandas(decode, "conv_id long, turn long, part int, role string, text string, rendered string")
     return turns.withColumns({c: F.when(F.col(c) != missing, F.col(c)) for c in ("conv_id", "turn")})

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, exact, html_text, lines, minhash, packing, pieces, spans, topk, toxicity
 
 #: Vocabulary of operator 8; a parameter, never copied.
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.fuzzy_lines(table(spark, sf_dir, "documents"), min_words=0, gram_bands=12)
+    return lines.fuzzy_lines(table(spark, sf_dir, "documents"), bands=12)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

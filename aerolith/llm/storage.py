@@ -23,14 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/aerolith-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
     several consumers scan (with column pruning) instead of recomputing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -215,11 +215,11 @@ def test_lines(spark):
 def test_lines_find_what_the_method_defines(spark):
     """SimHash within the distance and edit similarity reached: same groups as over all pairs."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120")
-    got = lines.fuzzy_lines(docs).where("group_id is not null").collect()
+    got = lines.fuzzy_lines(docs, min_words=3).where("group_id is not null").collect()
     norm = lines.normalise(F.col("line"))
     table = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(norm.alias("norm")).where("size(split(norm, ' ')) >= 3").distinct()
     nodes = table.withColumn("id", F.xxhash64("norm"))
-    hashes = {r["id"]: r["simhash"] for r in lines.simhashes(nodes).collect()}
+    hashes = {r["id"]: r["simhash"] for r in lines.features(nodes).collect()}
     texts = [(r["id"], r["norm"]) for r in nodes.collect()]
 
     def edits(a, b):
@@ -412,7 +412,7 @@ def test_topk(spark, monkeypatch):
 def brute_viterbi(hmm, rows):
     steps = []
     for role, text in rows:
-        parsed_lines, marks, features = chat.parse(role, text)
+        parsed_lines, marks, features = chat.parse(text)
         fresh = np.zeros(len(marks), bool)
         fresh[0] = True
         steps += list(hmm.steps(np.array(marks), np.array(features), fresh))
@@ -431,13 +431,23 @@ def brute_viterbi(hmm, rows):
 
 
 def test_chat_recovers_roles(spark):
-    known = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
-    hidden = F.when(F.crc32(F.concat_ws("-", "conv_id", "turn").cast("binary")) % 3 > 0, F.col("role"))
-    hmm = chat.train(known.where("conv_id % 2 = 0"))
-    test = known.where("conv_id % 2 = 1").withColumn("truth", F.col("role")).withColumn("role", hidden)
-    got = chat.format_chats(test, hmm).groupBy("conv_id", "turn").agg(F.first("role").alias("got"))
-    right = test.join(got, ["conv_id", "turn"]).where("role is null").agg(F.avg((F.col("truth") == F.col("got")).cast("int"))).first()[0]
-    assert right > 0.9
+    """Of conversations that the model has not learnt from, without their role column."""
+    known = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    hmm = chat.train(known.where(chat.learns()))
+    truth = known.where(~chat.learns()).select("conv_id", "turn", F.col("role").alias("truth"))
+    got = chat.format_chats(known.drop("role"), hmm).groupBy("conv_id", "turn").agg(F.min(F.struct("part", "role")).alias("got"))
+    right = truth.join(got, ["conv_id", "turn"]).agg(F.avg((F.col("truth") == F.col("got.role")).cast("int")), F.count("*")).first()
+    print("roles recovered", right)
+    assert right[1] == truth.count() and right[0] > 0.9
+
+
+def test_chat_ignores_the_roles_of_others(spark):
+    """Roles outside the training conversations change nothing; names may clash."""
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"{'Is it?' if t % 2 == 0 else 'It is.'} {c}") for c in range(40) for t in range(4)]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, place int, at int")
+    other = table.withColumn("role", F.when(chat.learns(), F.col("role")).otherwise("system"))
+    a, b = (sorted(map(tuple, chat.format_chats(x).collect())) for x in (table, other))
+    assert a == b and len(a) == 160 and {r[3] for r in a} == {"user", "assistant"}
 
 
 def test_chat_is_viterbi_over_whole_conversations(spark):
@@ -459,7 +469,7 @@ def test_chat_is_viterbi_over_whole_conversations(spark):
         at += n
         merged += [(turn, chat.ROLES[s]) for k, s in enumerate(states) if k == 0 or states[k - 1] != s]
     assert [(r["turn"], r["role"]) for r in got if r["conv_id"] == 1] == merged
-    assert [r["rendered"] for r in got if r["conv_id"] is None] == ["<|assistant|>\nx\n<|end|>\n"]
+    assert [r["text"] for r in got if r["conv_id"] is None] == ["x"]
     assert len([r for r in got if r["conv_id"] == 3]) == 2
     assert chat.format_chats(table.limit(0), hmm).count() == 0
 
