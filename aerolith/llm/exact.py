@@ -4,6 +4,7 @@ DataFrame functions only: no Python runs on the executors."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -122,17 +123,29 @@ def exact_groups(
     )
 
 
+#: Dropped rows up to which they are broadcast (about 100 bytes each).
+BROADCAST_ROWS = 200_000
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row per group of equal texts; all columns stay.
 
-    Rows that repeat both the id and the text of the row that stays are one row."""
-    dropped = exact_groups(docs, id_col, text_col).where(~F.col("kept"))
-    dropped = dropped.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone"), F.col("text_sha256").alias("__gone_sha")).distinct()
+    Rows that repeat both the id and the text of the row that stays are one row; the
+    other cases are those of ``exact_groups``, and column names never clash."""
+    groups = materialise(exact_groups(docs, id_col, text_col))
+    name, sha = (f"{x}_{uuid.uuid4().hex}" for x in ("id", "sha"))
+    keys = [F.coalesce("doc_id", F.lit(NO_ID)).alias(name), F.col("text_sha256").alias(sha)]
+
+    def among(rows: DataFrame) -> DataFrame:
+        rows = materialise(rows)
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WHITE_SPACE, "")
-    marked = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn(
-        "__sha", F.sha2(norm, 256)
-    )
-    left = marked.join(
-        dropped, (F.col("__id") == F.col("__gone")) & (F.col("__sha") == F.col("__gone_sha")), "left_anti"
-    )
-    return left.dropDuplicates(["__id", "__sha"]).drop("__id", "__sha")
+    marked = docs.withColumns({name: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), sha: F.sha2(norm, 256)})
+    left = marked.join(among(groups.where("not kept").select(*keys).distinct()), [name, sha], "left_anti")
+    # whole rows are shuffled only where the row that stays is there more than once
+    twice = among(groups.where("kept").select(*keys).groupBy(name, sha).count().where("count > 1").drop("count"))
+    if not twice.isEmpty():
+        again = left.join(twice, [name, sha], "left_semi").dropDuplicates([name, sha])
+        left = left.join(twice, [name, sha], "left_anti").unionByName(again)
+    return left.select(*docs.columns)

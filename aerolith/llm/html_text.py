@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(>|\Z)|[^<]+|<",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -42,8 +42,9 @@ ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "body": (frozenset(["head"]), frozenset(["html"])),
 }
 P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object"])
-#: Widest cell that counts for a column's width; longer ones overflow.
-CELL = 60
+#: Padding may make a table so many times as large as its text; beyond that (one cell of a
+#: megabyte over thousands of rows) the longest cells of a column overflow.
+PADDING = 32
 
 
 class Node:
@@ -57,14 +58,21 @@ def build_tree(html: str) -> Node:
     """Elements and text of a page, with tags implied where they are left out."""
     root = Node("html", {})
     stack = [root]
+    where: dict[str, list[int]] = {}  # places of the open elements, so that none is walked past
+
+    def top(tags: frozenset[str]) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
+
+    def push(node: Node) -> None:
+        where.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
 
     def close(tags: frozenset[str], scope: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in scope:
-                return
+        k = top(tags)
+        if k and k >= top(scope):
+            for node in reversed(stack[k:]):
+                where[node.tag].pop()
+            del stack[k:]
 
     at, end = 0, len(html)
     while at < end:
@@ -78,9 +86,11 @@ def build_tree(html: str) -> Node:
             elif token.startswith("<![CDATA["):
                 stack[-1].children.append(token[9:].removesuffix("]]>"))
             continue
+        if not m.group(4):
+            break  # a tag that never ends takes the rest, as in browsers
         tag = name.lower()
         if m.group(1):
-            if tag in ("br", "p") and not any(n.tag == tag for n in stack):
+            if tag in ("br", "p") and not where.get(tag):
                 stack[-1].children.append(Node(tag, {}))  # as browsers do with a stray </p>, </br>
             scope = P_SCOPE if tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th") else frozenset(["table"]) - {tag}
             close(frozenset([tag]), scope - {tag})
@@ -98,7 +108,7 @@ def build_tree(html: str) -> Node:
                 close(frozenset(["caption", "colgroup"]), frozenset(["table"]))
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             stack[-1].children.append(row := Node("tr", {}))
-            stack.append(row)
+            push(row)
         node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag in RAW:
@@ -107,7 +117,7 @@ def build_tree(html: str) -> Node:
             node.children.append(unescape(body) if tag in ("textarea", "title") else body)
             at = html.find(">", stop.start()) + 1 or end if stop else end
         elif tag not in VOID and not (raw.endswith("/") and tag in ("path", "g", "rect", "circle")):
-            stack.append(node)
+            push(node)
     return root
 
 
@@ -194,8 +204,13 @@ def align(rows: list[list[tuple[str, int, int]]]) -> list[str]:
     widths: dict[int, int] = {}
     for placed in grid:
         for c, lines in placed.items():
-            widths[c] = max(widths.get(c, 0), *(len(x) for x in lines if len(x) <= CELL), 0)
+            widths[c] = max(widths.get(c, 0), *map(len, lines), 0)
     order = sorted(widths)
+    lengths = [len(x) for placed in grid for lines in placed.values() for x in lines]
+    height = sum(max((len(x) for x in placed.values()), default=0) for placed in grid)
+    while height * sum(widths.values()) > PADDING * (sum(lengths) + 1024):
+        widest = max(widths, key=widths.get)
+        widths[widest] //= 2
     out = []
     for placed in grid:
         height = max((len(x) for x in placed.values()), default=0)

@@ -173,11 +173,11 @@ class Codec:
     def verify(self, texts: list[str], ids: list[list[int]], decoded: list[str] | None = None) -> None:
         """Raises where the library gives other ids for one of ``texts``, or another
         text for one of ``ids`` than ``decoded`` has."""
-        for text, own, theirs in zip(texts, ids, self.library.encode(texts, add_bos=True, add_eos=True), strict=True):
+        for text, own, theirs in zip(texts, ids, self.library.encode(texts, add_bos=True, add_eos=True, num_threads=1), strict=True):
             if own != theirs:
                 raise AssertionError(f"ids differ from the library's for a text of {len(text)} characters: {text[:80]!r}")
         if decoded is not None:
-            for own, theirs in zip(decoded, self.library.decode(ids), strict=True):
+            for own, theirs in zip(decoded, self.library.decode(ids, num_threads=1), strict=True):
                 if own != theirs:
                     raise AssertionError(f"the library decodes another text of {len(theirs)} characters: {theirs[:80]!r}")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +21,8 @@ from .storage import materialise
 BROADCAST_DOCS, BROADCAST_SENTENCES = 100_000, 1_000_000
 #: Likewise the hashes of repeated spans (8 bytes each, some 50 in a hash table).
 BROADCAST_HASHES = 2_000_000
+#: Likewise the first places of repeated spans (some 100 bytes each).
+BROADCAST_FIRSTS = 300_000
 
 #: A sentence ends after a run of terminators (and closing quotes) or a line end;
 #: white space after it belongs to it.  Joined, the sentences give the text back.
@@ -148,6 +151,10 @@ def repeated_spans(
         .agg(F.count("*").alias("n"), F.min("place").alias("first"))
         .where("n > 1")
     )
+    # a passage that very many texts share is one row here, and its places stay where they are
+    seen = materialise(seen)
+    if seen.count() <= BROADCAST_FIRSTS:
+        seen = F.broadcast(seen)
     later = spans.join(seen, ["h1", "h2"]).where(place != F.col("first"))
     covered = later.select(
         "id", "tag", F.explode(F.sequence("pos", F.expr("pos + len - 1"))).alias("at")
@@ -178,26 +185,27 @@ def remove_repeated_spans(
     size = drops.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("drop")), F.lit(0)).alias("s")).first()
     if size["n"] <= BROADCAST_DOCS and size["s"] <= BROADCAST_SENTENCES:
         drops = F.broadcast(drops)
+    name, tag, drop, cut_col = (f"{x}_{uuid.uuid4().hex}" for x in ("id", "tag", "drop", "cut"))
     drops = drops.select(
-        F.coalesce("id", F.lit(2**63 - 1)).alias("__id"), F.col("tag").alias("__tag"), F.col("drop").alias("__drop")
+        F.coalesce("id", F.lit(2**63 - 1)).alias(name), F.col("tag").alias(tag), F.col("drop").alias(drop)
     )
-    tagged = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1))).withColumn(
-        "__tag", F.xxhash64(text_col)
+    tagged = docs.withColumn(name, F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1))).withColumn(
+        tag, F.xxhash64(text_col)
     )
-    joined = tagged.join(drops, ["__id", "__tag"], "left")
+    joined = tagged.join(drops, [name, tag], "left")
 
     def cut_batch(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
         return cut_sentences(text, drop, unit_words)
 
-    cut = F.pandas_udf(cut_batch, "text string, removed_sentences int, removed_words int")(text_col, "__drop")
-    return joined.withColumn("__cut", cut).select(
+    cut = F.pandas_udf(cut_batch, "text string, removed_sentences int, removed_words int")(text_col, drop)
+    return joined.withColumn(cut_col, cut).select(
         *[
-            (F.when(F.col(text_col).isNotNull(), F.col("__cut.text")).alias(c) if c == text_col else F.col(c))
+            (F.when(F.col(text_col).isNotNull(), F.col(f"{cut_col}.text")).alias(c) if c == text_col else F.col(c))
             for c in docs.columns
             if c not in ("removed_sentences", "removed_words")
         ],
-        F.col("__cut.removed_sentences").alias("removed_sentences"),
-        F.col("__cut.removed_words").alias("removed_words"),
+        F.col(f"{cut_col}.removed_sentences").alias("removed_sentences"),
+        F.col(f"{cut_col}.removed_words").alias("removed_words"),
     )
 
 

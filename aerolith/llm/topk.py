@@ -81,20 +81,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     sampled, and no list is capped but the k asked for.
 
     Returns ``query_id, rank, vec_id, score``.  Ties go to the smaller id.  Defined
-    cases: null vectors, vectors with null or non-finite components, or of another
-    length than most, and null ids take no part; a repeated id is listed as often as
+    cases: null vectors, vectors with null or non-finite components and null ids
+    take no part; components that a shorter vector lacks count as 0; a repeated id is listed as often as
     it has rows, never as its own neighbour, and asks once (with the smaller vector); fewer candidates than k give all; an
     empty table gives an empty result; further columns are not read.
     """
     table = quantised(vectors, id_col, vector_col).where("id is not null")
     table = materialise(table)
-    stats = table.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if stats is None:
+    n, d = table.agg(F.count("*"), F.max(F.size("v"))).first()
+    if not n:
         return table.select(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.col("id").alias("score")
         ).limit(0)
-    table = table.where(F.size("v") == stats["d"])
-    n = stats["count"]
+    # a shorter vector has zeros where it has no components
+    table = table.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(d) - F.size("v"))))
     shards = -(-n // SHARD)
     # the salt splits even an id that is repeated over many rows
     placed = materialise(

@@ -239,8 +239,8 @@ def drop_toxic(
     """The rows of ``docs`` whose text scores below ``threshold``; all columns stay.
 
     Each row goes or stays by its own text (rows that repeat an id with other texts are
-    judged one by one); null and empty texts score as an empty bag; the schema, whatever
-    its column names, and an empty table stay as they are.  Rows pass through the
+    judged one by one); null and empty texts, and those without a word, stay; the schema,
+    whatever its column names, and an empty table stay as they are.  Rows pass through the
     scoring task with their columns, so nothing is shuffled."""
     model = train(docs if training_docs is None else training_docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -248,7 +248,8 @@ def drop_toxic(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = probabilities(batch.column(at).to_pylist(), shared)
-            yield batch.filter(pa.array(p < threshold))
+            texts = batch.column(at).to_pylist()
+            bare = np.array([not WORD.search(t or "") for t in texts], bool)
+            yield batch.filter(pa.array(bare | (probabilities(texts, shared) < threshold)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -362,6 +362,29 @@ def test_toxicity_ranks_held_out_rows():
     assert min(toxicity.word_logit(w, logits) for w in ("idiot", "idiiot", "morron", "patheticc")) > 3  # unseen spellings too
 
 
+def test_toxicity_reads_runs_without_spaces():
+    """Every n-gram of a long run lies in one of its parts; a toxic word late in it counts."""
+    run = "".join(chr(0x4E00 + (k * 37) % 3000) for k in range(500))
+    parts = toxicity.words_of(run)
+    for k in range(len(run) - 2):
+        assert any(run[k : k + 3] in p for p in parts)
+    assert toxicity.words_of("Short word") == ["short", "word"] and toxicity.words_of(None) == []
+
+
+def test_drop_toxic_goes_by_text(spark):
+    """Rows that repeat an id are judged one by one; clashing names and empty tables pass."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(50)]
+    rows = [(i, " ".join(rng.choices(words, k=12)) + (" idiot moron scum" if i % 6 == 0 else "")) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in rows] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    docs = docs_of(spark, [*rows, (1, "idiot moron scum idiot moron"), (1, None), (None, "w1 w2")])
+    got = toxicity.drop_toxic(docs, labels)
+    texts = {(r["doc_id"], r["text"]) for r in got.collect()}
+    assert got.schema == docs.schema and (1, None) in texts and (None, "w1 w2") in texts and (1, rows[1][1]) in texts
+    assert (1, "idiot moron scum idiot moron") not in texts and not any("idiot" in (t or "") for _, t in texts)
+    assert toxicity.drop_toxic(docs.limit(0), labels, docs).count() == 0
+
+
 def test_toxicity_query(spark):
     got = queries.op6_toxicity(spark, SF).collect()
     assert len(got) == 200 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
@@ -381,6 +404,20 @@ def test_html():
         html_text.render(html_text.build_tree(odd))
 
 
+def test_html_is_linear_and_aligns_wide_cells():
+    import time
+
+    start = time.perf_counter()
+    for page in ("<a " * 300_000, '<a x="' * 150_000, "<span>" * 8_000 + "</p>" * 8_000, "<p><table><td>" + "<div>" * 8_000):
+        html_text.build_tree(page)
+    assert time.perf_counter() - start < 10
+    wide = "w" * 200
+    got = html_text.render(html_text.build_tree(f"<table><tr><td>{wide}<td>b</tr><tr><td>a<td>c</tr></table>"))
+    first, second = [x for x in got.split("\n") if x]
+    assert first.index("b") == second.index("c") > 200
+    assert html_text.render(html_text.build_tree('<p title="a>b">x</p><p class="c"">y</p>')).split() == ["x", "y"]
+
+
 def test_html_query(spark):
     pages = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (None, "<p>a</p>", "u"), (3, "x" * 100000, "u")], "page_id long, html string, text string")
     got = {r["page_id"]: r["n_chars"] for r in html_text.extract_text(pages).collect()}
@@ -395,10 +432,11 @@ def test_topk(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERIES", 3)
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=8).round(2).tolist()) for i in range(400)] + [(400 + i, [0.5] * 8) for i in range(200)]
-    bad = [(1000, None), (1001, [None] + [1.0] * 7), (1050, [float("nan")] * 8), (1100, [float("inf")] * 8), (None, [1.0] * 8), (1150, [1.0])]
+    bad = [(1000, None), (1001, [None] + [1.0] * 7), (1050, [float("nan")] * 8), (1100, [float("inf")] * 8), (None, [1.0] * 8), (600, [1.0])]
     vectors = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
-    ids = np.array([i for i, _ in rows])
-    ints = np.floor(256 * np.array([v for _, v in rows], np.float32).astype(float)).astype(np.int64)
+    full = [*rows, (600, [1.0] + [0.0] * 7)]  # components that a vector lacks are 0
+    ids = np.array([i for i, _ in full])
+    ints = np.floor(256 * np.array([v for _, v in full], np.float32).astype(float)).astype(np.int64)
     want = []
     for q in ids[ids % 50 == 0]:
         s = ints @ ints[q]
