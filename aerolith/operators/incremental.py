@@ -8,6 +8,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..specs import COMPLETE
+from .reduce import ordered_sum
+
 
 def missing_ranges(first: date, last: date, old: tuple[date, date] | None) -> list[tuple[date, date]]:
     """Date ranges to acquire so that retained and requested days are one range."""
@@ -23,6 +26,37 @@ def missing_ranges(first: date, last: date, old: tuple[date, date] | None) -> li
     return out
 
 
+def missing_by_key(held: DataFrame, key: str) -> DataFrame:
+    """``missing_ranges`` for every key of ``held(key, lo, hi)``, so that all keys cover
+    the days from the first to the last that any has: ``key, start_date, end_date``."""
+    whole = held.agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+    both = held.join(F.broadcast(whole))  # one row
+    ranges = F.array(
+        F.when(F.col("first") < F.col("lo"), F.struct(F.col("first").alias("start_date"), F.date_sub("lo", 1).alias("end_date"))),
+        F.when(F.col("last") > F.col("hi"), F.struct(F.date_add("hi", 1).alias("start_date"), F.col("last").alias("end_date"))),
+    )
+    return both.select(key, F.explode(F.array_compact(ranges)).alias("r")).select(key, "r.*")
+
+
+def merge_retained(parts: Sequence[DataFrame], members: DataFrame, reasons: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Retained tables of successive days as one, for the cells of a membership.
+
+    Rows of other cells go; the days must follow one another; a repeated key fails the
+    task that meets it.  ``<value>__status`` is COMPLETE, or the reason why the row's part
+    can have nulls: ``reasons`` has one for each part, all different."""
+    if len(set(reasons)) != len(parts):
+        raise ValueError("each part needs a reason of its own for its nulls")
+    ids = members.select(F.col("h3_index").alias("H3_INDEX")).distinct()
+    marked = [p.join(ids, "H3_INDEX", "left_semi").withColumn("why", F.lit(r)) for p, r in zip(parts, reasons, strict=True)]
+    whole = union_contiguous(marked)
+    keys = [c for c in ("H3_INDEX", "DATE", "DATETIME") if c in whole.columns]
+    columns = [c for c in whole.columns if c not in keys]
+    one = whole.groupBy(*keys).agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in columns])
+    there = F.when(F.col("times") == 1, True).otherwise(F.raise_error(F.lit("a key is repeated")).cast("boolean"))
+    status = {f"{c}__status": F.when(F.col(c).isNotNull(), COMPLETE).otherwise(F.col("why")) for c in values}
+    return one.where(there).withColumns(status).drop("times", "why")
+
+
 def align_backfill(retained: DataFrame, added: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New metric columns joined to the retained rows, which all stay as they are.
     ``unmatched`` marks rows whose key the new table lacks; a product needs none."""
@@ -37,9 +71,9 @@ def fill_missing(retained: DataFrame, fresh: DataFrame, keys: Sequence[str], col
 
 
 def repaired_day(hourly: DataFrame, daily: DataFrame, column: str, expected: int = 24) -> DataFrame:
-    """Daily sums that were null and whose hours are complete now."""
+    """Daily sums that were null and whose hours are complete now, added up hour by hour."""
     total = hourly.groupBy("H3_INDEX", F.to_date("DATETIME").alias("DATE")).agg(
-        F.when(F.count(column) == expected, F.sum(column)).alias("__sum")
+        F.when(F.count(column) == expected, ordered_sum(F.col(column), F.col("DATETIME"))).alias("__sum")
     )
     joined = daily.join(total, ["H3_INDEX", "DATE"], "left")
     return joined.withColumn(column, F.coalesce(column, "__sum")).select(*daily.columns)

@@ -25,13 +25,18 @@ def end_of_hour(native: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Accumulated fields moved to the start of their hour.
 
     The value stamped exactly one hour later counts; a gap gives null, never the
-    next value that happens to follow."""
+    next value that happens to follow.  Keys are unique (see ``check_keys``)."""
     moved = [f for f in fields if f in ACCUMULATED]
     if not moved:
         return native
-    hour = "INTERVAL '1' HOUR FOLLOWING"
-    later = f"OVER (PARTITION BY point_id ORDER BY valid_time RANGE BETWEEN {hour} AND {hour})"
-    return native.withColumns({f: F.expr(f"first({f}) {later}") for f in moved})
+    kept = [f for f in fields if f not in ACCUMULATED]
+    none = F.lit(None).cast("double")
+    here = native.select("point_id", "valid_time", F.lit(True).alias("here"), *[none.alias(f) if f in moved else F.col(f) for f in fields])
+    ended = (F.col("valid_time") - F.expr("interval 1 hour")).alias("valid_time")
+    later = native.select("point_id", ended, F.lit(None).cast("boolean").alias("here"), *[none.alias(f) if f in kept else F.col(f) for f in fields])
+    # one value of each kind a key, so any aggregate picks it; no point's history is sorted
+    both = here.unionByName(later).groupBy("point_id", "valid_time").agg(F.max("here").alias("here"), *[F.max(f).alias(f) for f in fields])
+    return both.where("here").drop("here")
 
 
 def hourly_values(frame: DataFrame, metrics: Sequence[Metric]) -> DataFrame:

@@ -17,12 +17,13 @@ def within(frame: DataFrame, west: float, south: float, east: float, north: floa
     )
 
 
-def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP) -> DataFrame:
+def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP, allowance_m: float | None = None) -> DataFrame:
     """``h3_index, point_id, distance_m``: each cell's nearest native point.
 
     On a regular grid only the four corners around a cell can be nearest, so cells
-    are joined by equality on corner indices; no cross join, and the grid is never
-    broadcast.  Equal distances go to the smaller point_id."""
+    are joined by equality on corner indices; no cross join.  Equal distances go to the
+    smaller point_id.  A cell without a point around it fails the task that meets it,
+    and with ``allowance_m`` so does one whose point lies farther away."""
     corners = F.array(
         *[
             F.struct((F.floor(F.col("lat") / step) + i).alias("gy"), (F.floor(F.col("lon") / step) + j).alias("gx"))
@@ -40,11 +41,18 @@ def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP) -> Data
         F.round(F.col("lat") / step).cast("long").alias("gy"),
         F.round(F.col("lon") / step).cast("long").alias("gx"),
     )
-    near = wanted.join(points, ["gy", "gx"]).withColumn(
+    near = wanted.join(points, ["gy", "gx"], "left").withColumn(
         "distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
     )
-    best = near.groupBy("h3_index").agg(F.min(F.struct("distance_m", "point_id")).alias("b"))
-    return best.select("h3_index", F.col("b.point_id").alias("point_id"), F.col("b.distance_m").alias("distance_m"))
+    found = F.when(F.col("point_id").isNotNull(), F.struct("distance_m", "point_id"))
+    best = near.groupBy("h3_index").agg(F.min(found).alias("b"))
+    fits = F.col("b").isNotNull()
+    if allowance_m is not None:
+        fits = fits & (F.col("b.distance_m") <= allowance_m)
+    checked = F.when(fits, F.col("b")).otherwise(
+        F.raise_error(F.concat(F.lit("no native point near "), "h3_index")).cast(best.schema["b"].dataType)
+    )
+    return best.select("h3_index", checked.alias("b")).select("h3_index", "b.point_id", "b.distance_m")
 
 
 def sample(values: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -52,13 +60,20 @@ def sample(values: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return crosswalk.select("h3_index", "point_id").join(values, "point_id").drop("point_id").withColumnRenamed("h3_index", "H3_INDEX")
 
 
-def lattice(cells: DataFrame, start: str, end: str, hourly: bool) -> DataFrame:
-    """Every cell at every hour or day from ``start`` to ``end`` (dates, inclusive)."""
-    if hourly:
-        stamps = F.expr(f"sequence(timestamp_ntz'{start} 00:00:00', timestamp_ntz'{end} 23:00:00', interval 1 hour)")
-        return cells.select(F.col("h3_index").alias("H3_INDEX"), F.explode(stamps).alias("DATETIME"))
-    days = F.expr(f"sequence(date'{start}', date'{end}', interval 1 day)")
-    return cells.select(F.col("h3_index").alias("H3_INDEX"), F.explode(days).alias("DATE"))
+def lattice(cells: DataFrame, start: str, end: str, hourly: bool, key: str = "h3_index", name: str = "H3_INDEX", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every cell at every hour or day from ``start`` to ``end`` (dates, inclusive).
+
+    Cells are few and often one file: (cell, month) keys are dealt out first, so that
+    the days and hours of many years are made in as many tasks as there are cores."""
+    months = F.expr(f"sequence(trunc(date'{start}', 'MM'), date'{end}', interval 1 month)")
+    tasks = cells.sparkSession.sparkContext.defaultParallelism
+    dealt = cells.select(F.col(key).alias(name), *carry, F.explode(months).alias("month")).repartition(tasks, name, "month")
+    first, last = F.greatest("month", F.lit(start).cast("date")), F.least(F.last_day("month"), F.lit(end).cast("date"))
+    days = dealt.select(name, *carry, F.explode(F.sequence(first, last)).alias("DATE"))
+    if not hourly:
+        return days
+    hours = F.expr("sequence(cast(DATE as timestamp_ntz), cast(DATE as timestamp_ntz) + interval 23 hours, interval 1 hour)")
+    return days.select(name, *carry, F.explode(hours).alias("DATETIME"))
 
 
 def densify(frame: DataFrame, keys: DataFrame) -> DataFrame:

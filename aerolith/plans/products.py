@@ -1,51 +1,60 @@
 """The weather, solar-radiation and solar-cycle products.
 
 Each is one lazy plan for the days that are missing; retained DATE partitions are
-never rewritten unless ``rebuild`` is set."""
+never rewritten in place."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import solar as sun
-from ..operators import incremental, radiation, reduce, solar_cycle, spatial, validate
+from ..operators import incremental, lineage, radiation, reduce, solar_cycle, spatial, validate
 from ..sources import native as source
-from ..specs import inputs_of, selected
+from ..specs import FAMILIES, inputs_of, selected
+
+
+def on_cells(values: DataFrame, crosswalk: DataFrame, start: str, end: str, hourly: bool) -> DataFrame:
+    """Values at points, dense over the range, given to the cells of each point.
+
+    The lattice is laid over the points, which are few; the one join at the size of
+    cells x hours is that with the crosswalk."""
+    points = crosswalk.select("point_id").distinct()
+    keys = spatial.lattice(points, start, end, hourly, "point_id", "point_id")
+    return spatial.sample(spatial.densify(values, keys), crosswalk)
+
+
+def within_days(frame: DataFrame, start: str, end: str) -> DataFrame:
+    return frame.where(F.to_date("valid_time").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
+def stamped(frame: DataFrame) -> DataFrame:
+    return frame.withColumnRenamed("valid_time", "DATETIME")
 
 
 def weather_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str, families: Sequence[str] | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Dense hourly and daily tables: reduce at points, sample to cells, lay on the lattice."""
+    """Dense hourly and daily tables: reduce at points, lay on the lattice, give to cells."""
     metrics = selected(families)
     fields = inputs_of(metrics)
-    frame = reduce.end_of_hour(reduce.clean(native, fields), fields)
-    inside = F.to_date("valid_time").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    frame = frame.where(inside)
-    hours = reduce.values_only(reduce.hourly_values(frame, metrics)).withColumn("DATETIME", F.col("valid_time").cast("timestamp_ntz")).drop("valid_time")
+    frame = within_days(reduce.end_of_hour(reduce.clean(source.utc(native), fields), fields), start, end)
+    hours = stamped(reduce.values_only(reduce.hourly_values(frame, metrics)))
     days = reduce.values_only(reduce.daily_values(frame, metrics, strict))
-    return (
-        spatial.densify(spatial.sample(hours, crosswalk), spatial.lattice(crosswalk, start, end, hourly=True)),
-        spatial.densify(spatial.sample(days, crosswalk), spatial.lattice(crosswalk, start, end, hourly=False)),
-    )
+    return on_cells(hours, crosswalk, start, end, True), on_cells(days, crosswalk, start, end, False)
 
 
 def radiation_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
-    hours = radiation.hourly(native).where(F.to_date("valid_time").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    hours = within_days(radiation.hourly(source.utc(native)), start, end)
     days = radiation.daily(hours, strict=True)
-    hours = hours.withColumn("DATETIME", F.col("valid_time").cast("timestamp_ntz")).drop("valid_time")
-    return (
-        spatial.densify(spatial.sample(hours, crosswalk), spatial.lattice(crosswalk, start, end, hourly=True)),
-        spatial.densify(spatial.sample(days, crosswalk), spatial.lattice(crosswalk, start, end, hourly=False)),
-    )
+    return on_cells(stamped(hours), crosswalk, start, end, True), on_cells(days, crosswalk, start, end, False)
 
 
 def solar_tables(cells: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
     """Hourly positions and daily cycles; computed, without any source."""
-    where = cells.select(F.col("h3_index").alias("H3_INDEX"), "lat", "lon")
-    hours = spatial.lattice(cells, start, end, hourly=True).join(where, "H3_INDEX")
+    hours = spatial.lattice(cells, start, end, hourly=True, carry=("lat", "lon"))
     seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("DATETIME")).cast("double")
     elevation, azimuth = sun.position(seconds, F.col("lat"), F.col("lon"))
     hourly = (
@@ -54,62 +63,178 @@ def solar_tables(cells: DataFrame, start: str, end: str) -> tuple[DataFrame, Dat
         .select("H3_INDEX", "DATETIME", elevation.alias("SOLAR_ELEVATION_DEG"), azimuth.alias("SOLAR_AZIMUTH_DEG"))
         .withColumn("SOLAR_PHASE", sun.phase(F.col("SOLAR_ELEVATION_DEG")))
     )
-    days = spatial.lattice(cells, start, end, hourly=False).join(where, "H3_INDEX")
+    days = spatial.lattice(cells, start, end, hourly=False, carry=("lat", "lon"))
     return hourly, solar_cycle.daily_cycle(days)
 
 
-def publish(spark: SparkSession, out: str, name: str, build, start: str, end: str, columns: Sequence[str] | None = None, rebuild: bool = False) -> dict:
-    """Brings a product in ``out`` up to the range; returns its catalog.
+#: Version of what the producers compute; a product of another version is not appended to.
+PRODUCERS = {"weather": 1, "radiation": 1, "solar": 1}
+KEYS = {"hourly": ["H3_INDEX", "DATETIME"], "daily": ["H3_INDEX", "DATE"]}
+Build = Callable[[str, str, Sequence[str] | None], tuple[DataFrame, DataFrame]]
+
+
+def region_of(cells: DataFrame) -> str:
+    """Hash of the cells that a product is about."""
+    return validate.ids_sha256(cells, "h3_index").first()["sha256"]
+
+
+def tables(spark: SparkSession, path: str, catalog: dict) -> dict[str, DataFrame]:
+    return {f: spark.read.parquet(f"{path}/{catalog['data']}/{f}") for f in KEYS}
+
+
+def write_tables(pair: Sequence[DataFrame], folder: str) -> None:
+    hourly, daily = pair
+    source.write_days(hourly.withColumn("DATE", F.to_date("DATETIME")), f"{folder}/hourly")
+    source.write_days(daily, f"{folder}/daily")
 
-    ``build(start, end)`` gives the two tables of a range.  Days that are there are
-    kept; a range that is covered is a no-op.  The catalog is written last, so an
-    interrupted run leaves the old one, and the next run writes the same partitions."""
+
+def prove_kept(before: DataFrame, after: DataFrame, keys: Sequence[str], may_fill: Sequence[str] = ()) -> None:
+    """Raises unless every row of ``before`` is in ``after`` with the same values."""
+    same = after.select(*before.columns).join(before.select(*keys), list(keys), "left_semi")
+    lost = incremental.changed_rows(before, same, keys, may_fill).first()
+    if lost:
+        raise ValueError(f"a retained row would change: {lost.asDict()}")
+
+
+def publish(
+    spark: SparkSession, out: str, name: str, cells: DataFrame, build: Build, start: str, end: str, families: Sequence[str] | None = None,
+    rebuild: bool = False, extra: dict | None = None,
+) -> dict:
+    """Brings a product in ``out`` up to the range and the families; returns its catalog.
+
+    ``build(start, end, families)`` gives the two tables of a range.  Days and families
+    that are there are kept: days that are missing get all families, families that are
+    missing are computed for the retained days and joined to the retained rows, and what
+    is covered already is left alone.  Another set of cells, or a product of another
+    version of the producer, is refused.  A rebuild, and added families, go to a new
+    folder that is proved to keep the retained rows; a new version of the catalog, the
+    last thing written, names the folder, so a crash leaves the product as it was."""
     path = f"{out.rstrip('/')}/{name}"
     old = None if rebuild else source.read_catalog(spark, f"{path}/catalog")
     first, last = date.fromisoformat(start), date.fromisoformat(end)
-    held = None
+    region = region_of(cells)
+    held, had = None, []
     if old:
-        if columns is not None and old["columns"] != list(columns):
-            raise ValueError("the product has other metrics; backfill or rebuild it")
+        if old["region"] != region:
+            raise ValueError("the product is about other cells")
+        if old["producer"] != PRODUCERS[name]:
+            raise ValueError("the product is of another version of its producer; rebuild it")
         held = (date.fromisoformat(old["start_date"]), date.fromisoformat(old["end_date"]))
-    epochs = list(old["epochs"]) if old else []
+        had = old["families"]
+    wanted = None if families is None else [f for f in FAMILIES if f in {*families, *(had or [])}]
+    added = [f for f in wanted or [] if f not in (had or [])] if old else []
     ranges = incremental.missing_ranges(first, last, held)
-    if not ranges:
+    if not ranges and not added:
         return old
+    epochs = list(old["epochs"]) if old else []
+    data = old["data"] if old and not added else f"data-{uuid.uuid4().hex}"
+    if old and added:
+        fresh = build(old["start_date"], old["end_date"], added)
+        before = tables(spark, path, old)
+        both = []
+        for (frequency, keys), new in zip(KEYS.items(), fresh, strict=True):
+            kept = before[frequency].drop("DATE") if frequency == "hourly" else before[frequency]
+            aligned = incremental.align_backfill(kept, new, keys)
+            whole = F.when(F.col("unmatched"), F.raise_error(F.lit("a retained row has no added values")).cast("boolean")).otherwise(True)
+            both.append(aligned.where(whole).drop("unmatched"))
+        write_tables(both, f"{path}/{data}")
+        after = tables(spark, path, {"data": data})
+        for frequency, keys in KEYS.items():
+            prove_kept(before[frequency], after[frequency], keys)
+        epochs.append({"start_date": old["start_date"], "end_date": old["end_date"], "families": added})
     for lo, hi in ranges:
-        hourly, daily = build(str(lo), str(hi))
-        source.write_days(hourly.withColumn("DATE", F.to_date("DATETIME")), f"{path}/hourly")
-        source.write_days(daily, f"{path}/daily")
-        epochs.append({"start_date": str(lo), "end_date": str(hi)})
+        write_tables(build(str(lo), str(hi), wanted), f"{path}/{data}")
+        epochs.append({"start_date": str(lo), "end_date": str(hi), "families": wanted})
+    whole = tables(spark, path, {"data": data})
     catalog = {
-        "product": name,
-        "start_date": str(min([first, *([held[0]] if held else [])])),
-        "end_date": str(max([last, *([held[1]] if held else [])])),
-        "columns": list(columns) if columns is not None else None,
-        "epochs": sorted(epochs, key=lambda e: e["start_date"]),
-    }
+        "product": name, "producer": PRODUCERS[name], "region": region, "data": data, "families": wanted,
+        "start_date": str(min([first, *held[:1]] if held else [first])), "end_date": str(max([last, *held[1:]] if held else [last])),
+        "columns": {f: [[c, t] for c, t in whole[f].dtypes] for f in KEYS},
+        "epochs": sorted(epochs, key=lambda e: (e["start_date"], str(e["families"]))), **(extra or {}),
+    }
     source.write_catalog(spark, f"{path}/catalog", catalog)
     return catalog
 
 
-def get_weather(spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, start: str, end: str, families: Sequence[str] | None = None, rebuild: bool = False) -> dict:
-    metrics = selected(families)
+def get_weather(
+    spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, start: str, end: str, families: Sequence[str] | None = None,
+    rebuild: bool = False, allow_incomplete_final_day: bool = False,
+) -> dict:
+    """The weather product; None stands for all families.  The native rows are checked
+    for their contract, keys, time axis and frontier before anything is written."""
+    families = list(FAMILIES) if families is None else [f for f in FAMILIES if f in {m.family for m in selected(families)}]
 
-    def build(lo: str, hi: str):
-        return weather_tables(source.read_native(spark, native_path, inputs_of(metrics), lo, hi), crosswalk, lo, hi, families)
+    def build(lo: str, hi: str, names: Sequence[str] | None):
+        native = source.check_keys(source.read_native(spark, native_path, inputs_of(selected(names)), lo, hi))
+        return weather_tables(native, crosswalk, lo, hi, names)
 
-    return publish(spark, out, "weather", build, start, end, [m.column for m in metrics], rebuild)
+    fields = inputs_of(selected(families))
+    extra = source.frontier_gate(source.read_native(spark, native_path, fields, start, end), fields, end, allow_incomplete_final_day)
+    return publish(spark, out, "weather", crosswalk, build, start, end, families, rebuild, extra)
 
 
-def get_radiation(spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, start: str, end: str, rebuild: bool = False) -> dict:
-    def build(lo: str, hi: str):
-        return radiation_tables(source.read_native(spark, native_path, list(radiation.FIELDS), lo, hi), crosswalk, lo, hi)
+def get_radiation(
+    spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, start: str, end: str, rebuild: bool = False,
+    allow_incomplete_final_day: bool = False,
+) -> dict:
+    fields = list(radiation.FIELDS)
 
-    return publish(spark, out, "radiation", build, start, end, rebuild=rebuild)
+    def build(lo: str, hi: str, names: Sequence[str] | None):
+        return radiation_tables(source.check_keys(source.read_native(spark, native_path, fields, lo, hi)), crosswalk, lo, hi)
+
+    extra = source.frontier_gate(source.read_native(spark, native_path, fields, start, end), fields, end, allow_incomplete_final_day)
+    return publish(spark, out, "radiation", crosswalk, build, start, end, rebuild=rebuild, extra=extra)
 
 
 def get_solar(spark: SparkSession, cells: DataFrame, out: str, start: str, end: str, rebuild: bool = False) -> dict:
-    return publish(spark, out, "solar", lambda lo, hi: solar_tables(cells, lo, hi), start, end, rebuild=rebuild)
+    return publish(spark, out, "solar", cells, lambda lo, hi, names: solar_tables(cells, lo, hi), start, end, rebuild=rebuild)
+
+
+def get_data(
+    spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, start: str, end: str, west: float, south: float, east: float,
+    north: float, families: Sequence[str] | None = None,
+) -> dict:
+    """The weather product of the cells in a closed box; the crosswalk has lat and lon."""
+    inside = spatial.within(crosswalk, west, south, east, north)
+    if inside.isEmpty():
+        raise ValueError("no cell lies in the box")
+    return get_weather(spark, native_path, inside, out, start, end, families)
+
+
+def refresh_weather(spark: SparkSession, native_path: str, crosswalk: DataFrame, out: str, end: str, allow_incomplete_final_day: bool = False) -> dict:
+    """Repairs the retained final day and appends the days up to ``end``.
+
+    A day that was published without its terminal hour is filled from the source now:
+    only nulls become values, which is proved before the catalog changes.  Nothing is
+    done when the product is whole up to ``end``."""
+    path = f"{out.rstrip('/')}/weather"
+    old = source.read_catalog(spark, f"{path}/catalog")
+    if old is None:
+        raise ValueError("there is no product to refresh")
+    if old["partial_fields"]:
+        day = old["end_date"]
+        fields = inputs_of(selected(old["families"]))
+        native = source.check_keys(source.read_native(spark, native_path, fields, day, day))
+        source.frontier_gate(native, fields, day)
+        fresh = dict(zip(KEYS, weather_tables(native, crosswalk, day, day, old["families"]), strict=True))
+        data = f"data-{uuid.uuid4().hex}"
+        before = tables(spark, path, old)
+        both = []
+        for frequency, keys in KEYS.items():
+            kept = before[frequency].drop("DATE") if frequency == "hourly" else before[frequency]
+            values = [c for c in kept.columns if c not in keys]
+            new = fresh[frequency].select(*keys, F.struct(*values).alias("fresh"))
+            filled = kept.join(new, keys, "left")
+            both.append(filled.select(*keys, *[F.coalesce(kept[c], F.col(f"fresh.{c}")).alias(c) for c in values]))
+        write_tables(both, f"{path}/{data}")
+        after = tables(spark, path, {"data": data})
+        for frequency, keys in KEYS.items():
+            prove_kept(before[frequency], after[frequency], keys, [c for c in before[frequency].columns if c not in (*keys, "DATE")])
+        old = {**old, "data": data, "partial_fields": [], "latest_complete_day": day}
+        source.write_catalog(spark, f"{path}/catalog", old)
+    if date.fromisoformat(end) <= date.fromisoformat(old["end_date"]):
+        return old
+    return get_weather(spark, native_path, crosswalk, out, old["start_date"], end, old["families"], allow_incomplete_final_day=allow_incomplete_final_day)
 
 
 def check_product(spark: SparkSession, out: str, name: str, cells: DataFrame) -> dict[str, int]:
@@ -117,20 +242,29 @@ def check_product(spark: SparkSession, out: str, name: str, cells: DataFrame) ->
     path = f"{out.rstrip('/')}/{name}"
     catalog = source.read_catalog(spark, f"{path}/catalog")
     lo, hi = catalog["start_date"], catalog["end_date"]
-    hourly, daily = (spark.read.parquet(f"{path}/{f}") for f in ("hourly", "daily"))
-    found = {}
-    for label, frame, keys in (("hourly", hourly, spatial.lattice(cells, lo, hi, True)), ("daily", daily, spatial.lattice(cells, lo, hi, False))):
-        found[f"{label}_repeated"] = validate.repeated_keys(frame, keys.columns).count()
-        found[f"{label}_off_lattice"] = validate.off_lattice(frame, keys).count()
+    frames = tables(spark, path, catalog)
+    found = {"region": int(catalog["region"] != region_of(cells))}
+    for frequency, frame in frames.items():
+        keys = spatial.lattice(cells, lo, hi, frequency == "hourly")
+        found[f"{frequency}_schema"] = int([[c, t] for c, t in frame.dtypes] != catalog["columns"][frequency])
+        found[f"{frequency}_repeated"] = validate.repeated_keys(frame, keys.columns).count()
+        found[f"{frequency}_off_lattice"] = validate.off_lattice(frame, keys).count()
         doubles = [f.name for f in frame.schema.fields if f.dataType.typeName() == "double"]
-        found[f"{label}_nonfinite"] = validate.column_counts(frame, doubles).agg(F.sum("nonfinite")).first()[0]
+        found[f"{frequency}_nonfinite"] = validate.column_counts(frame, doubles).agg(F.sum("nonfinite")).first()[0]
     if name == "solar":
-        found["phases"] = validate.solar_errors(hourly).count()
-        found["cycles"] = validate.cycle_errors(daily, solar_cycle.DURATIONS, [n for p in solar_cycle.EVENTS for n in p]).count()
-    spans = spark.createDataFrame(
-        [(date.fromisoformat(e["start_date"]), date.fromisoformat(e["end_date"])) for e in catalog["epochs"]], "start_date date, end_date date"
-    ).selectExpr("'all' frequency", "'all' metric", "*")
-    from ..operators.lineage import breaks
-
-    found["lineage"] = breaks(spans, date.fromisoformat(lo), date.fromisoformat(hi)).count()
+        found["phases"] = validate.solar_errors(frames["hourly"]).count()
+        found["cycles"] = validate.cycle_errors(frames["daily"], solar_cycle.DURATIONS, [n for p in solar_cycle.EVENTS for n in p]).count()
+    if name == "radiation":
+        hours = frames["hourly"].withColumnsRenamed({"H3_INDEX": "point_id", "DATETIME": "valid_time"}).drop("DATE")
+        found["reductions"] = radiation.reduction_errors(hours, frames["daily"].withColumnRenamed("H3_INDEX", "point_id")).count()
+    if name == "weather":
+        metrics = selected(catalog["families"])
+        wanted = {"hourly": [m.column for m in metrics], "daily": [c for m in metrics for c, _ in m.daily_columns()]}
+        found["columns"] = sum(sorted(c for c in frames[f].columns if c not in ("H3_INDEX", "DATE", "DATETIME")) != sorted(wanted[f]) for f in KEYS)
+    rows = [
+        ("daily", family or name, date.fromisoformat(e["start_date"]), date.fromisoformat(e["end_date"]))
+        for e in catalog["epochs"] for family in e["families"] or [None]
+    ]
+    spans = spark.createDataFrame(rows, "frequency string, metric string, start_date date, end_date date")
+    found["lineage"] = lineage.breaks(spans, date.fromisoformat(lo), date.fromisoformat(hi)).count()
     return found

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,15 +12,75 @@ from pyspark.sql import functions as F
 from ..specs import ACCUMULATED, UNITS
 
 
+def utc(frame: DataFrame, column: str = "valid_time") -> DataFrame:
+    """The stamp as a zone-free UTC time, whatever the session's time zone is."""
+    if frame.schema[column].dataType.typeName() == "timestamp_ntz":
+        return frame
+    there = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(column).cast("timestamp_ntz"))
+    return frame.withColumn(column, there)
+
+
 def read_native(spark: SparkSession, path: str, fields: Sequence[str], start: str, end: str) -> DataFrame:
     """Rows of the days ``start`` to ``end`` and, where a field is accumulated, the
-    midnight after them.  Time and columns are pruned at the scan."""
+    midnight after them, stamped in UTC.  Time and columns are pruned at the scan."""
     frame = spark.read.parquet(path)
     check_contract(frame, fields)
-    upper = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
-    t = F.col("valid_time").cast("timestamp_ntz")
+    kind = frame.schema["valid_time"].dataType.simpleString()
+    zone = "" if kind == "timestamp_ntz" else " UTC"
+    lower = F.lit(f"{start} 00:00:00{zone}").cast(kind)
+    upper = F.lit(f"{date.fromisoformat(end) + timedelta(days=1)} 00:00:00{zone}").cast(kind)
+    t = F.col("valid_time")
     late = t <= upper if any(f in ACCUMULATED for f in fields) else t < upper
-    return frame.where((t >= F.lit(start).cast("date").cast("timestamp_ntz")) & late).select("valid_time", "point_id", *fields)
+    return utc(frame.where((t >= lower) & late).select("valid_time", "point_id", *fields))
+
+
+def repeated_rows(frame: DataFrame) -> DataFrame:
+    """``point_id, valid_time, n`` of native keys that occur more than once."""
+    return frame.groupBy("point_id", "valid_time").agg(F.count("*").alias("n")).where("n > 1")
+
+
+def check_keys(frame: DataFrame) -> DataFrame:
+    """The frame, if no key is repeated and no day's stamps leave the hourly axis."""
+    bad = repeated_rows(frame).first()
+    if bad:
+        raise ValueError(f"point {bad['point_id']} has {bad['n']} rows at {bad['valid_time']}")
+    off = off_hours(frame).first()
+    if off:
+        raise ValueError(f"the stamp {off['t']} does not follow the one before by an hour")
+    return frame
+
+
+def coverage(frame: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``field, last_stamp, last_complete_day``, a row for each field.
+
+    The last hour of a day ends at the midnight after it, where an accumulated field
+    is stamped; other fields are stamped when the hour begins."""
+    one = frame.agg(*[F.max(F.when(F.col(f).isNotNull() & ~F.isnan(f), F.col("valid_time"))).alias(f) for f in fields])
+    rows = []
+    for f in fields:
+        begun = F.col(f) if f in ACCUMULATED else F.col(f) + F.expr("interval 1 hour")
+        rows.append(F.struct(F.lit(f).alias("field"), F.col(f).alias("last_stamp"), F.date_sub(begun.cast("date"), 1).alias("last_complete_day")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def frontier_gate(frame: DataFrame, fields: Sequence[str], end: str, allow_incomplete_final_day: bool = False) -> dict:
+    """What a catalog says of the final day; raises where the source ends before ``end``.
+
+    With ``allow_incomplete_final_day`` the last day may lack its one terminal hour in
+    some fields, whose daily values are then null."""
+    rows = {r["field"]: r for r in coverage(frame, fields).collect()}
+    last = date.fromisoformat(end)
+    short = {f: r for f, r in rows.items() if r["last_complete_day"] is None or r["last_complete_day"] < last}
+    if short and not allow_incomplete_final_day:
+        raise ValueError(f"the source ends before {end} is complete: {sorted(short)}")
+    for f, r in short.items():
+        one_hour = datetime.combine(last, time(23)) - timedelta(hours=0 if f in ACCUMULATED else 1)
+        if r["last_stamp"] is None or r["last_stamp"] != one_hour:
+            raise ValueError(f"{f} lacks more than the terminal hour of {end}")
+    return {
+        "partial_fields": sorted(short),
+        "latest_complete_day": str(last - timedelta(days=1) if short else last),
+    }
 
 
 def check_contract(frame: DataFrame, fields: Sequence[str]) -> None:
@@ -69,16 +130,26 @@ def read_days(spark: SparkSession, path: str, start: str, end: str) -> DataFrame
 
 
 def write_catalog(spark: SparkSession, path: str, catalog: dict) -> None:
+    """Adds a version; nothing is deleted, so a crash leaves the one before."""
+    last = _versions(spark, path)
     text = json.dumps(catalog, sort_keys=True, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    row = spark.createDataFrame([(text, last[0][0] + 1 if last else 1)], "value string, version int")
+    row.coalesce(1).write.mode("append").partitionBy("version").text(path)
 
 
 def read_catalog(spark: SparkSession, path: str) -> dict | None:
+    """The newest version; None where there is none."""
+    last = _versions(spark, path)
+    return json.loads(last[0][1]) if last else None
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     from pyspark.errors import AnalysisException
 
     try:
-        return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+        newest = spark.read.text(path, wholetext=True).orderBy(F.desc("version")).limit(1).collect()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            return None
+            return []
         raise
+    return [(int(r["version"]), r["value"]) for r in newest]

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from aerolith.functions import solar as sun
 from aerolith.operators import incremental, lineage, radiation, reduce, solar_cycle, spatial
 from aerolith.plans import products
+from aerolith.sources import native as source
+from aerolith.sources import registry
 from aerolith.specs import METRICS, selected
 
 DAY = dt.datetime(2009, 1, 1)
@@ -97,14 +99,15 @@ def test_daily_cycle():
 
 
 def test_radiation(spark):
-    start = dt.datetime(2009, 1, 1)
-    rows = [(start + dt.timedelta(hours=i), 0, i * 3600.0, i * 900.0) for i in range(49)]
-    rows[2] = (*rows[2][:3], -0.01)
-    rows[3] = (*rows[3][:2], float("nan"), rows[3][3])
-    native = spark.createDataFrame(rows, "valid_time timestamp_ntz, point_id int, ssrd double, fdir double")
+    """A null hour empties its day for its own field; negative energies stay."""
+    start = dt.datetime(2015, 7, 8)
+    rows = [[start + dt.timedelta(hours=h), 4, 7200.0 + 50 * h, 100.0 * h] for h in range(49)]
+    rows[7][3], rows[9][2] = -2.5, float("inf")
+    native = spark.createDataFrame([tuple(r) for r in rows], "valid_time timestamp_ntz, point_id int, ssrd double, fdir double")
     days = radiation.daily(radiation.hourly(native)).orderBy("DATE").collect()
-    assert days[0]["DOWNWARD_SHORTWAVE_ENERGY_J_M2"] is None and days[0]["DIRECT_SOLAR_ENERGY_J_M2"] is not None
-    assert days[1]["DOWNWARD_SHORTWAVE_IRRADIANCE_W_M2_MEAN"] == pytest.approx(36.5)
+    assert days[0]["DOWNWARD_SHORTWAVE_ENERGY_J_M2"] is None
+    assert days[0]["DIRECT_SOLAR_ENERGY_J_M2"] == pytest.approx(sum(r[3] for r in rows[1:25]))
+    assert days[1]["DOWNWARD_SHORTWAVE_IRRADIANCE_W_M2_MEAN"] == pytest.approx(sum(r[2] for r in rows[25:49]) / 86400)
 
 
 @pytest.mark.parametrize(
@@ -116,16 +119,41 @@ def test_missing_ranges(first, last, old, want):
 
 
 def test_repair(spark):
-    day = dt.datetime(2026, 10, 10)
+    """Nulls of one column are filled, and the day's sum with them; no other value moves."""
+    keys, day = ["H3_INDEX", "DATETIME"], dt.datetime(2019, 3, 5)
     schema = "H3_INDEX string, DATETIME timestamp_ntz, PRECIPITATION_MM double, OTHER double"
-    stamps = [day + dt.timedelta(hours=h) for h in range(24)]
-    old = spark.createDataFrame([("a", t, 1.0 if h < 23 else None, 42.0) for h, t in enumerate(stamps)], schema)
-    fresh = spark.createDataFrame([("a", t, 999.0 if h < 23 else 2.0, 0.0) for h, t in enumerate(stamps)], schema)
-    new = incremental.fill_missing(old, fresh, ["H3_INDEX", "DATETIME"], "PRECIPITATION_MM")
-    daily = spark.createDataFrame([("a", day.date(), None, 42.0)], "H3_INDEX string, DATE date, PRECIPITATION_MM double, OTHER double")
-    assert incremental.repaired_day(new, daily, "PRECIPITATION_MM").first()["PRECIPITATION_MM"] == 25
-    assert incremental.changed_rows(old, new, ["H3_INDEX", "DATETIME"], ["PRECIPITATION_MM"]).count() == 0
-    assert incremental.changed_rows(old, fresh, ["H3_INDEX", "DATETIME"], ["PRECIPITATION_MM"]).count() == 24
+    amounts = [0.25 * h for h in range(24)]
+    rows = [(c, day + dt.timedelta(hours=h), a, 7.5) for c in "pq" for h, a in enumerate(amounts)]
+    holes = {("p", 22), ("p", 23)}
+    old = spark.createDataFrame([(c, t, None if (c, t.hour) in holes else a, o) for c, t, a, o in rows], schema)
+    fresh = spark.createDataFrame([(c, t, a + (0 if (c, t.hour) in holes else 11), -1.0) for c, t, a, o in rows], schema)
+    new = incremental.fill_missing(old, fresh, keys, "PRECIPITATION_MM")
+    daily = spark.createDataFrame([("p", day.date(), None, 7.5), ("q", day.date(), -3.0, 7.5)], "H3_INDEX string, DATE date, PRECIPITATION_MM double, OTHER double")
+    got = {r["H3_INDEX"]: r["PRECIPITATION_MM"] for r in incremental.repaired_day(new, daily, "PRECIPITATION_MM").collect()}
+    assert got == {"p": sum(amounts), "q": -3.0}
+    assert incremental.changed_rows(old, new, keys, ["PRECIPITATION_MM"]).count() == 0
+    assert incremental.changed_rows(old, fresh, keys, ["PRECIPITATION_MM"]).count() == 48
+
+
+def test_retained_merge(spark):
+    schema = "H3_INDEX string, DATE date, v double"
+    d = lambda k: dt.date(2020, 5, k)
+    a = spark.createDataFrame([("x", d(1), 1.0), ("x", d(2), None), ("out", d(2), 5.0)], schema)
+    b = spark.createDataFrame([("x", d(3), None), ("y", d(3), 2.0)], schema)
+    members = spark.createDataFrame([("x",), ("y",)], "h3_index string")
+    got = {(r["H3_INDEX"], r["DATE"].day): r["v__status"] for r in incremental.merge_retained([b, a], members, ["LATE", "EARLY"], ["v"]).collect()}
+    assert got == {("x", 1): "COMPLETE", ("x", 2): "EARLY", ("x", 3): "LATE", ("y", 3): "COMPLETE"}
+    with pytest.raises(ValueError):
+        incremental.merge_retained([a, b], members, ["SAME", "SAME"], ["v"])
+    with pytest.raises(Exception, match="repeated"):
+        incremental.merge_retained([a.union(a), b], members, ["A", "B"], ["v"]).collect()
+
+
+def test_membership_files():
+    assert registry.parse_members(b"") == [] and registry.parse_members(b"a1\nb2\n") == ["a1", "b2"]
+    for bad in (b"a1", b"a1\r\n", b"a1\n\nb2\n", b" a1\n", "ä\n".encode()):
+        with pytest.raises(ValueError):
+            registry.parse_members(bad)
 
 
 def test_lineage_faults(spark):
@@ -152,15 +180,72 @@ def test_products_append_and_check(spark, tmp_path):
     cells = spark.createDataFrame([("a", 0, 49.0, -125.0), ("b", 1, 48.5, -125.0)], "h3_index string, point_id int, lat double, lon double")
     out = str(tmp_path / "out")
     products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-20", ["temperature"])
-    before = spark.read.parquet(out + "/weather/daily").collect()
+    catalog = products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-20", ["temperature"])
+    before = products.tables(spark, out + "/weather", catalog)["daily"].collect()
     catalog = products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-22", ["temperature"])
     assert [e["start_date"] for e in catalog["epochs"]] == ["2024-06-20", "2024-06-21"]
     assert products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-21", "2024-06-21", ["temperature"]) == catalog
-    after = spark.read.parquet(out + "/weather/daily").where("DATE = date'2024-06-20'").collect()
+    after = products.tables(spark, out + "/weather", catalog)["daily"].where("DATE = date'2024-06-20'").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
     products.get_radiation(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-22")
     products.get_solar(spark, cells, out, "2024-06-20", "2024-06-21")
     for name in ("weather", "radiation", "solar"):
         assert set(products.check_product(spark, out, name, cells).values()) == {0}
-    with pytest.raises(ValueError):
-        products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-22", ["wind"])
+    before = {r["H3_INDEX"]: r for r in products.tables(spark, out + "/weather", catalog)["daily"].collect()}
+    more = products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-22", ["wind"])
+    assert more["families"] == ["temperature", "wind"] and set(products.check_product(spark, out, "weather", cells).values()) == {0}
+    after = {r["H3_INDEX"]: r for r in products.tables(spark, out + "/weather", more)["daily"].collect()}
+    assert before.keys() == after.keys()
+    with pytest.raises(ValueError, match="other cells"):
+        products.get_weather(spark, str(tmp_path / "native"), cells.where("h3_index = 'a'"), out, "2024-06-20", "2024-06-22", ["wind"])
+    with pytest.raises(ValueError, match="source ends"):
+        products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-20", "2024-06-29", ["wind"])
+    short = products.get_weather(spark, str(tmp_path / "native"), cells, out, "2024-06-21", "2024-06-21", ["pressure"], rebuild=True)
+    assert (short["start_date"], short["families"]) == ("2024-06-21", ["pressure"])
+    assert set(products.check_product(spark, out, "weather", cells).values()) == {0}  # nothing stale is left
+
+
+def test_incomplete_final_day_and_refresh(spark, tmp_path):
+    start, path, out = dt.datetime(2024, 6, 20), str(tmp_path / "native"), str(tmp_path / "out")
+    rows = [(start + dt.timedelta(hours=h), 0, 280.0 + h, 270.0, 1.0, 2.0, 1e5, 0.3, 0.001) for h in range(97)]
+    cells = spark.createDataFrame([("a", 0, 49.0, -125.0)], "h3_index string, point_id int, lat double, lon double")
+    spark.createDataFrame(rows[:48], SCHEMA).write.parquet(path)  # the midnight after the second day is to come
+    with pytest.raises(ValueError, match="source ends"):
+        products.get_weather(spark, path, cells, out, "2024-06-20", "2024-06-21", ["precipitation"])
+    made = products.get_weather(spark, path, cells, out, "2024-06-20", "2024-06-21", ["precipitation"], allow_incomplete_final_day=True)
+    assert made["partial_fields"] == ["tp"] and made["latest_complete_day"] == "2024-06-20"
+    spark.createDataFrame(rows[48:], SCHEMA).write.mode("append").parquet(path)
+    done = products.refresh_weather(spark, path, cells, out, "2024-06-23")
+    days = products.tables(spark, out + "/weather", done)["daily"].orderBy("DATE").collect()
+    assert done["partial_fields"] == [] and len(days) == 4 and all(r["PRECIPITATION_MM"] == pytest.approx(24) for r in days)
+    assert products.refresh_weather(spark, path, cells, out, "2024-06-23") == source.read_catalog(spark, out + "/weather/catalog")
+    assert set(products.check_product(spark, out, "weather", cells).values()) == {0}
+
+
+def test_native_rows_are_checked(spark, tmp_path):
+    native = cube(spark)
+    with pytest.raises(ValueError, match="2 rows"):
+        source.check_keys(native.union(native.where("point_id = 1 and hour(valid_time) = 3")))
+    with pytest.raises(ValueError, match="follow"):
+        source.check_keys(native.where("hour(valid_time) != 5"))
+    far = spark.createDataFrame([("far", 10.0, 10.0)], "h3_index string, lat double, lon double")
+    grid = spark.createDataFrame([(1, 48.0, -124.0)], "point_id int, lat double, lon double")
+    with pytest.raises(Exception, match="no native point near far"):
+        spatial.nearest_point(far, grid).collect()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        zoned = native.withColumn("valid_time", F.expr("convert_timezone('UTC', current_timezone(), valid_time)").cast("timestamp"))
+        zoned.write.parquet(str(tmp_path / "zoned"))
+        read = source.read_native(spark, str(tmp_path / "zoned"), ["tp"], "2009-01-01", "2009-01-01")
+        assert sorted(map(tuple, read.collect())) == sorted(map(tuple, native.select("valid_time", "point_id", "tp").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_lattice_uses_all_cores(spark):
+    cells = spark.createDataFrame([("a",), ("b",)], "h3_index string").coalesce(1)
+    keys = spatial.lattice(cells, "2001-02-10", "2002-03-05", True)
+    assert keys.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    got = keys.agg(F.count("*"), F.count_distinct("H3_INDEX", "DATETIME"), F.min("DATETIME"), F.max("DATETIME")).first()
+    days = (dt.date(2002, 3, 5) - dt.date(2001, 2, 10)).days + 1
+    assert tuple(got) == (days * 48, days * 48, dt.datetime(2001, 2, 10), dt.datetime(2002, 3, 5, 23))
