@@ -47,8 +47,8 @@ def merge_retained(parts: Sequence[DataFrame], members: DataFrame, reasons: Sequ
     if len(set(reasons)) != len(parts):
         raise ValueError("each part needs a reason of its own for its nulls")
     ids = members.select(F.col("h3_index").alias("H3_INDEX")).distinct()
-    marked = [p.join(ids, "H3_INDEX", "left_semi").withColumn("why", F.lit(r)) for p, r in zip(parts, reasons, strict=True)]
-    whole = union_contiguous(marked)
+    marked = [p.withColumn("why", F.lit(r)) for p, r in zip(parts, reasons, strict=True)]
+    whole = union_contiguous(marked).join(ids, "H3_INDEX", "left_semi")
     keys = [c for c in ("H3_INDEX", "DATE", "DATETIME") if c in whole.columns]
     columns = [c for c in whole.columns if c not in keys]
     one = whole.groupBy(*keys).agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in columns])
