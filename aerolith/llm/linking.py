@@ -84,42 +84,44 @@ def bucket_components(
     known: DataFrame | None = None,
     coarse: DataFrame | None = None,
     narrow: Callable[[DataFrame], DataFrame] | None = None,
+    screen_hubs: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the graph whose links are the verified pairs that share a
-    bucket of ``keys(bucket, id, weight)``.
+    bucket of ``keys(bucket, id, weight)``; weight may be left out, further columns are
+    carried along.
 
     A large bucket is not expanded into all its pairs.  Its members are first
-    verified against two hubs, the member of the largest weight and the one of the
-    smallest id.  Members that the hubs already join need no further link among
+    verified against two hubs, the member of the largest weight, if there are weights,
+    and the one of the smallest id.  Members that the hubs already join need no further link among
     themselves; only pairs of one bucket whose components still differ are verified
     in a last pass.  No link between components is lost, but for pairs that
     ``condition`` rejects.
 
     ``verify`` takes distinct ``(a, b)`` and returns those that are links;
     ``condition(left, right)`` is a necessary condition of a link on the columns of
-    ``detail(id, ...)``; ``coarse(bucket, id, ...)`` are fewer and larger buckets that the
+    ``detail(id, ...)``, or, with ``screen_hubs``, on the further columns of ``keys`` alone,
+    and then pairs with a hub are held to it too; ``coarse(bucket, id, ...)`` are fewer and larger buckets that the
     last pass joins instead (``condition`` then says whether two rows share one of
     ``keys``); ``narrow`` takes the rows ``(bucket, id, component)``, with any
     further columns, and returns those that can have a link to another
     component of their bucket; ``known(a, b)`` are links given beforehand.  Returns
     ``(links(a, b), components(id, component))``.
     """
-    if "weight" not in keys.columns:
-        keys = keys.withColumn("weight", F.lit(0))
-    hubs = (
-        keys.groupBy("bucket")
-        .agg(
-            F.min("id").alias("lo"),
-            F.max("id").alias("hi"),
-            F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best"),
-        )
-        .where("lo < hi")
-        .select("bucket", "lo", (-F.col("best.minus")).alias("best"))
-    )
+    extra = [c for c in keys.columns if c not in ("bucket", "id", "weight")]
+    least = [F.min(F.struct("id", *extra)).alias("lo"), F.max("id").alias("hi")]
+    heavy = F.max(F.struct("weight", (-F.col("id")).alias("minus"), "id", *extra)).alias("best")
+    weighed = "weight" in keys.columns
+    names = ("lo", "best") if weighed else ("lo",)
+    hubs = keys.groupBy("bucket").agg(*least, *[heavy] * weighed).where("lo.id < hi").drop("hi")
     members = materialise(keys.join(hubs, "bucket").drop("weight"))
-    asked = members.select(F.least("lo", "id").alias("a"), F.greatest("lo", "id").alias("b")).union(
-        members.select(F.least("best", "id").alias("a"), F.greatest("best", "id").alias("b"))
-    )
+    asked = None
+    for hub in names:
+        part = members.alias("l")
+        if screen_hubs and condition is not None:
+            part = part.where(condition("l", hub))
+        ends = (F.col("id"), F.col(f"{hub}.id"))
+        part = part.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b"))
+        asked = part if asked is None else asked.union(part)
     first = verify(asked.where("a < b").distinct())
     first = materialise(first if known is None else first.union(known))
     found = connected_components(first)
@@ -138,8 +140,8 @@ def bucket_components(
         & (F.col("l.id") < F.col("r.id"))
         & (F.col("l.component") != F.col("r.component"))
     )
-    for hub in ("lo", "best") if coarse is None else ():  # those pairs have been verified
-        meet = meet & (F.col("l.id") != F.col(f"l.{hub}")) & (F.col("r.id") != F.col(f"r.{hub}"))
+    for hub in names if coarse is None else ():  # those pairs have been verified
+        meet = meet & (F.col("l.id") != F.col(f"l.{hub}.id")) & (F.col("r.id") != F.col(f"r.{hub}.id"))
     if condition is not None:
         meet = meet & condition("l", "r")
     pairs = left.join(right, meet).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
