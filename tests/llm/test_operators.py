@@ -271,6 +271,26 @@ def test_line_query_joins_short_repeats(spark, tmp_path):
     assert got[3, 1]["group_id"] is None and got[3, 2]["group_id"] is None
 
 
+def test_line_query_long_lines(spark, tmp_path):
+    """Long lines of few common words, whose SimHashes are near anyway, and writing without spaces."""
+    rng = random.Random(13)
+    vocab = ["the", "of", "and"] * 20 + ["".join(rng.choices("abcdefghijklm", k=7)) for _ in range(40)]
+    rows, pairs = [], []
+    for k in range(40):
+        words = rng.choices(vocab, k=rng.choice([40, 120, 400]))
+        other = list(words)
+        for at in rng.sample(range(len(words)), len(words) // 12):
+            other[at] = rng.choice(vocab)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        pairs.append((2 * k, 2 * k + 1))
+    han = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(300))
+    rows += [(80, han), (81, han[:150] + "一" + han[151:])]
+    docs_of(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["group_id"] for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs) and got[80] == got[81]
+    assert len(set(got.values())) >= 41  # no two of different pairs
+
+
 def test_pieces_verify_decoding():
     codec = pieces.codec_for(queries.PIECES)
     texts = ["", "one  two", "naïve 漢字 \x00\U0001F600"]
