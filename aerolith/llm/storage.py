@@ -23,14 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/aerolith-{spark.sparkContext.applicationId}"
 
 
+#: Spark's setting that removes the shuffle files of an execution when it ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
-    several consumers scan (with column pruning) instead of recomputing."""
+    several consumers scan (with column pruning) instead of recomputing.  Its shuffle
+    files are removed with the end of the write, not when the driver next collects
+    garbage, so the disk holds the tables and the shuffles of one step."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
