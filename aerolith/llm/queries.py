@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, html_text, lines, minhash, packing, pieces, spans, topk, toxicity
+from . import audit, chat, counts, exact, html_text, lines, minhash, negatives, packing, pieces, spans, topk, toxicity
 
-#: Vocabulary of operator 8; a parameter, never copied.
+#: Vocabularies of operators 8 and 12; parameters, never copied.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"), BYTES, limit=1024)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of rows whose id is divisible by 7 are moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +87,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_chat_formatting, op2_best_fit_packing, op3_line_dedup, op4_substring_dedup, op5_exact_dedup, op6_toxicity,
-        op7_html_extraction, op8_sentencepiece, op9_exact_top_k, op10_minhash_near_dedup, pipeline,
+        op7_html_extraction, op8_sentencepiece, op9_exact_top_k, op10_minhash_near_dedup,
+        op11_filter_audit, op12_token_counts, op13_hard_negatives, pipeline,
     )
     return {f.__name__: f for f in own}
 
@@ -102,5 +119,61 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+f AS (
+  SELECT part, coalesce(quality, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS bad,
+         list_filter([
+           CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+           CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * length(x) THEN 'C' END,
+           CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 'E' END],
+           lambda k: k IS NOT NULL) AS failed
+  FROM t LEFT JOIN labels USING (doc_id)),
+h AS (
+  SELECT part, good, bad, failed, count(*) AS n FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (
+  SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, string_split(left(filter_order, step - 1), '') AS gone FROM o, range(1, 6) r(step)),
+c AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, own,
+         sum(n) FILTER (NOT list_contains(failed, own) AND NOT list_has_any(failed, gone)) AS kept,
+         sum(n) FILTER (list_contains(failed, own) AND NOT list_has_any(failed, gone)) AS removed,
+         sum(n) FILTER (list_contains(failed, own) AND list_has_any(failed, gone)) AS redundant,
+         sum(n) FILTER (failed = [own]) AS unique_fails,
+         sum(n) FILTER (good AND list_contains(failed, own) AND NOT list_has_any(failed, gone)) AS good_lost,
+         sum(n) FILTER (bad AND list_contains(failed, own) AND NOT list_has_any(failed, gone)) AS toxic_lost
+  FROM h, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM c
+"""
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, c.id AS id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.id % 100 = 0 AND a.id <> c.id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op9_exact_top_k": OP9_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op9_exact_top_k": OP9_SQL, "op11_filter_audit": OP11_SQL, "op13_hard_negatives": OP13_SQL}

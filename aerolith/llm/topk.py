@@ -15,13 +15,15 @@ from .storage import materialise
 BLOCK, SHARD, QUERIES = 512, 16_384, 1_024
 
 
-def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(id, v array<long>)`` with ``floor(256 * x)`` of each component; vectors that
-    are null or hold a null or non-finite component are left out."""
+def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *carried: Column) -> DataFrame:
+    """``(id, v array<long>)`` and what is ``carried``, with ``floor(256 * x)`` of each
+    component; vectors that are null or hold a null or non-finite component are left out.
+    A component beyond 2^62 / 256 fails the task: as an integer it would be another."""
     v = F.col(vector_col)
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    ints = F.transform(v, lambda x: F.floor(x.cast("double") * 256))
-    return vectors.where(v.isNotNull() & ~bad).select(F.col(id_col).cast("long").alias("id"), ints.alias("v"))
+    large = F.raise_error(F.lit("a component is too large for a 64-bit integer")).cast("long")
+    ints = F.transform(v, lambda x: F.when(F.abs(x.cast("double")) < 2.0**54, F.floor(x.cast("double") * 256)).otherwise(large))
+    return vectors.where(v.isNotNull() & ~bad).select(F.col(id_col).cast("long").alias("id"), ints.alias("v"), *carried)
 
 
 class Block:
@@ -37,8 +39,11 @@ class Block:
 
 
 def exact_type(queries: np.ndarray, rows: np.ndarray) -> type:
-    """float64 where every partial sum is below 2^53 and so exact, else int64."""
+    """float64 where every partial sum is below 2^53 and so exact, else int64; raises
+    where one may not fit."""
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, queries.shape[1])
+    if largest >= 2.0**63:
+        raise ValueError("inner products of these vectors do not fit a 64-bit integer")
     return np.float64 if largest < 2**53 else np.int64
 
 
@@ -82,7 +87,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     Returns ``query_id, rank, vec_id, score``.  Ties go to the smaller id.  Defined
     cases: null vectors, vectors with null or non-finite components and null ids
-    take no part; components that a shorter vector lacks count as 0; a repeated id is listed as often as
+    take no part; components that a shorter vector lacks count as 0; components or scores too
+    large for a 64-bit integer fail the task; a repeated id is listed as often as
     it has rows, never as its own neighbour, and asks once (with the smaller vector); fewer candidates than k give all; an
     empty table gives an empty result; further columns are not read.
     """
