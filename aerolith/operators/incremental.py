@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..specs import COMPLETE
-from .reduce import ordered_sum
+from .reduce import FULL, LAST, hour_masks, ordered_sum
 
 
 def missing_ranges(first: date, last: date, old: tuple[date, date] | None) -> list[tuple[date, date]]:
@@ -79,6 +79,22 @@ def repaired_day(hourly: DataFrame, daily: DataFrame, column: str, expected: int
     return joined.withColumn(column, F.coalesce(column, "__sum")).select(*daily.columns)
 
 
+def repair_faults(hourly: DataFrame, daily: DataFrame, fresh: DataFrame, column: str) -> DataFrame:
+    """``H3_INDEX, DATE, fault`` of the days that cannot be repaired: those that lack other
+    hours than the last, that have a daily value all the same, or whose last hour the
+    fresh rows lack as well.  A repair needs none."""
+    keys = ["H3_INDEX", "DATE"]
+    masks = hour_masks(hourly, [column], "H3_INDEX", "DATETIME").select(*keys, F.col(column).alias("mask"))
+    last = fresh.where(F.hour("DATETIME") == 23).select("H3_INDEX", F.to_date("DATETIME").alias("DATE"), F.col(column).alias("fresh"))
+    both = daily.select(*keys, F.col(column).alias("total")).join(masks, keys, "left").join(last, keys, "left")
+    fault = (
+        F.when(F.coalesce(F.col("mask"), F.lit(0)) != FULL - LAST, "does not lack the last hour alone")
+        .when(F.col("total").isNotNull(), "has a daily value although an hour is missing")
+        .when(F.col("fresh").isNull(), "has no support for its last hour")
+    )
+    return both.select(*keys, fault.alias("fault")).where("fault is not null")
+
+
 def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str], may_fill: Sequence[str] = ()) -> DataFrame:
     """Keys whose row is missing on one side or differs in a value.  In the columns of
     ``may_fill`` a null may have become a value."""

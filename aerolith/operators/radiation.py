@@ -14,7 +14,11 @@ FIELDS = {"ssrd": "DOWNWARD_SHORTWAVE", "fdir": "DIRECT_SOLAR"}
 def hourly(native: DataFrame) -> DataFrame:
     """Energy of the hour that starts at ``valid_time`` and its mean irradiance.
     Signs and zeros stay as they are; the two fields are independent."""
-    moved = end_of_hour(clean(native, list(FIELDS)), list(FIELDS))
+    return energies(end_of_hour(clean(native, list(FIELDS)), list(FIELDS)))
+
+
+def energies(moved: DataFrame) -> DataFrame:
+    """``hourly`` of fields that stand at the start of their hour already."""
     return moved.select(
         "point_id",
         "valid_time",

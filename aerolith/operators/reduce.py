@@ -21,22 +21,79 @@ def clean(native: DataFrame, fields: Sequence[str]) -> DataFrame:
     return native.select("point_id", "valid_time", *[W.finite(F.col(f)).alias(f) for f in fields])
 
 
-def end_of_hour(native: DataFrame, fields: Sequence[str]) -> DataFrame:
+def end_of_hour(native: DataFrame, fields: Sequence[str], counted: bool = False) -> DataFrame:
     """Accumulated fields moved to the start of their hour.
 
-    The value stamped exactly one hour later counts; a gap gives null, never the
-    next value that happens to follow.  Keys are unique (see ``check_keys``)."""
+    The value stamped exactly one hour later counts; a gap gives null, never the next
+    value that happens to follow.  Each row is given out twice, for its own hour and for
+    the one that it ends, so the source is scanned once.  Keys are unique (see
+    ``day_faults``); ``counted`` adds ``rows``, how often a key is there, and ``ended``,
+    how often the stamp an hour later is."""
     moved = [f for f in fields if f in ACCUMULATED]
-    if not moved:
-        return native
     kept = [f for f in fields if f not in ACCUMULATED]
+    if not moved and not counted:
+        return native
     none = F.lit(None).cast("double")
-    here = native.select("point_id", "valid_time", F.lit(True).alias("here"), *[none.alias(f) if f in moved else F.col(f) for f in fields])
+    here = F.struct(F.col("valid_time"), F.lit(1).alias("here"), *[none.alias(f) if f in moved else F.col(f) for f in fields])
     ended = (F.col("valid_time") - F.expr("interval 1 hour")).alias("valid_time")
-    later = native.select("point_id", ended, F.lit(None).cast("boolean").alias("here"), *[none.alias(f) if f in kept else F.col(f) for f in fields])
+    later = F.struct(ended, F.lit(0).alias("here"), *[none.alias(f) if f in kept else F.col(f) for f in fields])
+    both = native.select("point_id", F.inline(F.array(here, later)))
     # one value of each kind a key, so any aggregate picks it; no point's history is sorted
-    both = here.unionByName(later).groupBy("point_id", "valid_time").agg(F.max("here").alias("here"), *[F.max(f).alias(f) for f in fields])
-    return both.where("here").drop("here")
+    met = both.groupBy("point_id", "valid_time").agg(
+        F.sum("here").alias("rows"), F.sum(1 - F.col("here")).alias("ended"), *[F.max(f).alias(f) for f in fields]
+    ).where("rows > 0")
+    return met if counted else met.drop("rows", "ended")
+
+
+#: A day whose 24 hours are there, as a bitmap with bit h for the hour that starts at h.
+FULL = (1 << HOURS) - 1
+LAST = 1 << (HOURS - 1)
+
+
+def hour_masks(frame: DataFrame, columns: Sequence[str], key: str = "point_id", stamp: str = "valid_time") -> DataFrame:
+    """Per key and day a bitmap of the hours with a value, for each column, and ``hours``
+    of those with a row.  Of a frame with counts (``end_of_hour``) also ``ended``, the hours
+    whose end has a stamp, ``off``, the rows that are not on the hour, and ``copies``, how
+    often a key is there at most.  One combined aggregation."""
+    t = F.col(stamp)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.hour(t))
+    masks = [F.coalesce(F.bit_or(F.when(F.col(c).isNotNull(), bit)), F.lit(0)).alias(c) for c in columns]
+    more = []
+    if "ended" in frame.columns:
+        more = [F.coalesce(F.bit_or(F.when(F.col("ended") > 0, bit)), F.lit(0)).alias("ended"), F.max("rows").alias("copies"),
+                F.count_if((F.minute(t) != 0) | (F.second(t) != 0)).alias("off")]
+    return frame.groupBy(key, F.to_date(t).alias("DATE")).agg(F.bit_or(bit).alias("hours"), *more, *masks)
+
+
+def day_faults(masks: DataFrame, days: DataFrame, end: str, moved: bool, may_lack: bool = False) -> DataFrame:
+    """``point_id, DATE, fault`` of the native days that a product cannot be made from, for
+    every (point, day) of ``days``: repeated keys, rows off the hour, hours without a row,
+    and hours whose end has no stamp, where a field is ``moved`` to the start of its hour.
+
+    With ``may_lack`` the last day may lack the stamp that ends it, and nothing else."""
+    got = lambda c: F.coalesce(F.col(c), F.lit(0))
+    whole = got("ended") == FULL
+    if may_lack:
+        whole = whole | ((F.col("DATE") == F.lit(end).cast("date")) & (got("ended") == FULL - LAST))
+    faults = [F.when(got("copies") > 1, "has repeated rows"), F.when(got("off") > 0, "has rows off the hour"), F.when(got("hours") != FULL, "lacks hours")]
+    if moved:
+        faults.append(F.when((got("hours") == FULL) & ~whole, "lacks the stamps that end its hours"))
+    both = days.join(masks, ["point_id", "DATE"], "left")
+    return both.select("point_id", "DATE", F.explode(F.array_compact(F.array(*faults))).alias("fault"))
+
+
+def partial_days(masks: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
+    """``DATE, field, affected, minimum_valid_hours, maximum_valid_hours`` of the days on
+    which a key lacks an hour of a field; null masks count as no hours.  ``affected``
+    counts keys, or adds up the column ``weight``, such as the cells of a point."""
+    n = {c: F.bit_count(F.coalesce(F.col(c), F.lit(0))) for c in columns}
+    each = F.lit(1).cast("long") if weight is None else F.col(weight)
+    per = masks.groupBy("DATE").agg(*[
+        F.struct(F.lit(c).alias("field"), F.coalesce(F.sum(F.when(x < HOURS, each)), F.lit(0)).alias("affected"), F.min(x).alias("minimum_valid_hours"),
+                 F.max(x).alias("maximum_valid_hours")).alias(c)
+        for c, x in n.items()
+    ])
+    return per.select("DATE", F.explode(F.array(*[F.col(c) for c in columns])).alias("r")).select("DATE", "r.*").where("affected > 0")
 
 
 def hourly_values(frame: DataFrame, metrics: Sequence[Metric]) -> DataFrame:

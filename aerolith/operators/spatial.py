@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.weather import haversine_m
+from ..functions.weather import EARTH_RADIUS_M, haversine_m
 
 STEP = 0.25
 
@@ -17,6 +17,28 @@ def within(frame: DataFrame, west: float, south: float, east: float, north: floa
     )
 
 
+#: Native points that one region may take; a product of more is to be parted.
+POINTS = 4096
+
+
+def native_window(grid: DataFrame, west: float, south: float, east: float, north: float, halo: float = STEP) -> DataFrame:
+    """The native points of a closed box with its halo, if there are 1 to 4,096."""
+    points = within(grid, west, south, east, north, halo)
+    n = points.limit(POINTS + 1).count()
+    if not 1 <= n <= POINTS:
+        raise ValueError("no native point lies in the box" if not n else f"the box holds more than {POINTS} native points")
+    return points
+
+
+def check_box(box: tuple[float, float, float, float], approved: tuple[float, float, float, float] | None = None) -> None:
+    """Raises for a box (west, south, east, north) without extent or outside the approved one."""
+    west, south, east, north = box
+    if not (-180 <= west < east <= 180 and -90 <= south < north <= 90):
+        raise ValueError(f"{box} is no box of west, south, east and north")
+    if approved is not None and not (approved[0] <= west and approved[1] <= south and east <= approved[2] and north <= approved[3]):
+        raise ValueError(f"{box} is not inside the approved box {approved}")
+
+
 def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP, allowance_m: float | None = None) -> DataFrame:
     """``h3_index, point_id, distance_m``: each cell's nearest native point.
 
@@ -55,6 +77,64 @@ def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP, allowan
     return best.select("h3_index", checked.alias("b")).select("h3_index", "b.point_id", "b.distance_m")
 
 
+def nearest_anywhere(cells: DataFrame, grid: DataFrame, step: float = STEP) -> DataFrame:
+    """``nearest_point`` for grids with holes, and across the date line: for every cell the
+    nearest of all points, whatever their distance.
+
+    Squares of grid corners around a cell are searched by equality on corner indices,
+    longitudes counted around the globe.  A cell is done when its best point is nearer
+    than anything outside its square can be; for the others the square is doubled, so few
+    cells take more than one round.  Equal distances go to the smaller point_id; null
+    places find nothing; a grid without points gives null for each cell."""
+    around, tall = round(360 / step), round(180 / step) + 1
+    gy, gx = F.floor(F.col("lat") / step), F.floor(F.col("lon") / step)
+    points = grid.where("lat is not null and lon is not null").select(
+        "point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), F.round(F.col("lat") / step).cast("long").alias("gy"),
+        F.pmod(F.round(F.col("lon") / step).cast("long"), F.lit(around)).alias("gx"),
+    )
+    left = cells.select("h3_index", "lat", "lon")
+    done, reach = None, 1
+    while True:
+        span = F.sequence(F.lit(1 - reach), F.lit(reach))
+        rows = left.select("*", F.explode(span).alias("i")).select("*", (gy + F.col("i")).alias("gy"))
+        ring = F.array_distinct(F.transform(span, lambda j: F.pmod(gx + j, F.lit(around))))
+        rows = rows.select("h3_index", "lat", "lon", "gy", F.explode(ring).alias("gx"))
+        near = rows.join(points, ["gy", "gx"]).withColumn("m", haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+        best = near.groupBy("h3_index").agg(F.min(F.struct("m", "point_id")).alias("b"))
+        # the nearest place outside the square: a parallel, or the great circle of a meridian
+        south, north = F.col("lat") - (gy - reach) * step, (gy + reach + 1) * step - F.col("lat")
+        west, east = F.col("lon") - (gx - reach) * step, (gx + reach + 1) * step - F.col("lon")
+        up = F.lit(float("inf")) if reach >= tall else F.radians(F.least(south, north))
+        aside = F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(F.least(west, east, F.lit(90.0)))))
+        aside = F.lit(float("inf")) if 2 * reach >= around else aside
+        sure = F.col("b.m") < EARTH_RADIUS_M * (F.least(up, aside) - 1e-9)
+        found = left.join(best, "h3_index", "left").withColumn("sure", F.coalesce(sure, F.lit(False))).persist()
+        whole = reach >= tall and 2 * reach >= around
+        part = (found if whole else found.where("sure")).select("h3_index", "b.point_id", F.col("b.m").alias("distance_m"))
+        done = part if done is None else done.union(part)
+        left = found.where("not sure").select("h3_index", "lat", "lon")
+        if whole or left.isEmpty():
+            return done
+        reach *= 2
+
+
+def in_polygons(places: DataFrame, edges: DataFrame, key: str = "h3_index", band: float = STEP) -> DataFrame:
+    """``key, polygon_id`` of the places (``key, lat, lon``) inside each polygon of
+    ``edges(polygon_id, lat0, lon0, lat1, lon1)``, by the even-odd rule: holes are rings of
+    their own, and of two polygons with a common edge a place on it is in exactly one.
+
+    Only edges that cross the place's band of latitude are met, by equality on the band;
+    of those the ones are counted that a ray to the east crosses.  A latitude is counted
+    to the edge that begins at it, so corners are neither lost nor counted twice."""
+    low, high = F.least("lat0", "lat1"), F.greatest("lat0", "lat1")
+    strips = F.sequence(F.floor(low / band), F.floor(high / band))
+    crossed = edges.where("lat0 != lat1").select("*", F.explode(strips).alias("strip"))
+    here = places.select(key, "lat", "lon", F.floor(F.col("lat") / band).alias("strip"))
+    at = F.col("lon0") + (F.col("lat") - F.col("lat0")) * (F.col("lon1") - F.col("lon0")) / (F.col("lat1") - F.col("lat0"))
+    meet = here.join(crossed, "strip").where((low <= F.col("lat")) & (F.col("lat") < high) & (at > F.col("lon")))
+    return meet.groupBy(key, "polygon_id").agg(F.count("*").alias("n")).where("n % 2 = 1").select(key, "polygon_id")
+
+
 def sample(values: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Values at points given to the cells that lie nearest (many to one)."""
     return crosswalk.select("h3_index", "point_id").join(values, "point_id").drop("point_id").withColumnRenamed("h3_index", "H3_INDEX")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.solar import phase
+from ..functions.weather import finite
+from ..specs import ACCUMULATED
+from .spatial import sample
 
 
 def repeated_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,6 +73,38 @@ def cycle_errors(daily: DataFrame, durations: Sequence[str], events: Sequence[st
     return daily.where(wrong)
 
 
+def boundary_days(epochs: Iterable[tuple[str, str]]) -> list[date]:
+    """The first and last day of each epoch, and the leap days in them."""
+    out = set()
+    for start, end in epochs:
+        a, b = date.fromisoformat(start), date.fromisoformat(end)
+        leap = [date(y, 2, 29) for y in range(a.year, b.year + 1) if y % 4 == 0 and (y % 100 or y % 400 == 0)]
+        out |= {a, b, *[d for d in leap if a <= d <= b]}
+    return sorted(out)
+
+
+def native_differences(native: DataFrame, crosswalk: DataFrame, hourly: DataFrame, columns: dict[str, str], days: Sequence[date]) -> DataFrame:
+    """``H3_INDEX, DATETIME, metric`` of published values on ``days`` that are not, bit by bit,
+    the native sample of the cell's point; ``columns`` gives each one's field.
+
+    An accumulated field is looked up at the end of the hour, apart from how products
+    are made."""
+    wanted = F.to_date("DATETIME").isin(list(days))
+    published = hourly.where(wanted)
+    out = None
+    for ended in (True, False):
+        own = {c: f for c, f in columns.items() if (f in ACCUMULATED) == ended}
+        if not own:
+            continue
+        stamp = F.col("valid_time") - F.expr("interval 1 hour") if ended else F.col("valid_time")
+        rows = native.select("point_id", stamp.alias("DATETIME"), *[finite(F.col(f)).alias(f"native_{c}") for c, f in own.items()]).where(wanted)
+        both = published.join(sample(rows, crosswalk), ["H3_INDEX", "DATETIME"], "left")
+        off = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"native_{c}")), c) for c in own]))
+        found = both.select("H3_INDEX", "DATETIME", F.explode(off).alias("metric"))
+        out = found if out is None else out.union(found)
+    return out
+
+
 def ids_sha256(frame: DataFrame, column: str) -> DataFrame:
     """Hash of the sorted ids, each followed by a line feed.  For registries, whose
     size is bounded by the study (some thousand ids)."""

@@ -294,6 +294,65 @@ def reduction_check(spark, sf):
     return radiation.reduction_errors(hours, wrong)
 
 
+SHIFTED = f"""{NATIVE}, s AS (SELECT a.point_id, a.valid_time, CAST(a.valid_time AS DATE) AS DATE, a.t2m, b.tp, b.ssrd, b.point_id IS NOT NULL AS ended
+  FROM native a LEFT JOIN native b ON a.point_id = b.point_id AND b.valid_time = a.valid_time + INTERVAL 1 HOUR)"""
+
+
+@query(f"""WITH {SHIFTED}, m AS (SELECT DATE, count(t2m) AS t2m, count(tp) AS tp, count(ssrd) AS ssrd FROM s GROUP BY point_id, DATE),
+u AS (UNPIVOT m ON t2m, tp, ssrd INTO NAME field VALUE n)
+SELECT DATE, field, count(*) FILTER (WHERE n < 24) AS affected, CAST(min(n) AS INTEGER) AS minimum_valid_hours, CAST(max(n) AS INTEGER) AS maximum_valid_hours
+FROM u GROUP BY DATE, field HAVING count(*) FILTER (WHERE n < 24) > 0""")
+def partial_days(spark, sf):
+    """The days on which a point lacks an hour of a field, by bitmaps of the hours."""
+    fields = ["t2m", "tp", "ssrd"]
+    return reduce.partial_days(reduce.hour_masks(weather_frame(spark, sf, fields), fields), fields)
+
+
+@query(f"""WITH {SHIFTED}, k AS (SELECT CAST(p AS INTEGER) AS point_id, CAST(d AS DATE) AS DATE FROM range(5) r(p), generate_series(DATE '{FIRST}', DATE '2024-02-01', INTERVAL 1 DAY) t(d)),
+m AS (SELECT point_id, DATE, count(*) AS n, count(*) FILTER (WHERE ended) AS e, bool_or(ended AND hour(valid_time) = 23) AS last, bool_or(hour(valid_time) = 3 AND point_id = 2) AS twice FROM s GROUP BY ALL),
+j AS (SELECT k.*, coalesce(n, 0) AS n, coalesce(e, 0) AS e, coalesce(last, false) AS last, coalesce(twice, false) AS twice FROM k LEFT JOIN m USING (point_id, DATE))
+SELECT point_id, DATE, 'has repeated rows' AS fault FROM j WHERE twice UNION ALL SELECT point_id, DATE, 'lacks hours' FROM j WHERE n < 24
+UNION ALL SELECT point_id, DATE, 'lacks the stamps that end its hours' FROM j WHERE n = 24 AND e < 24 AND NOT (DATE = DATE '{LAST}' AND e = 23 AND NOT last)""")
+def native_day_faults(spark, sf):
+    """What keeps a point's day from being published; here some rows are repeated."""
+    n = native(spark, sf)
+    twice = n.union(n.where("point_id = 2 and hour(valid_time) = 3"))
+    masks = reduce.hour_masks(reduce.end_of_hour(reduce.clean(twice, ["tp"]), ["tp"], counted=True), ["tp"])
+    points = spark.range(5).select(F.col("id").cast("int").alias("point_id"))
+    days = spatial.lattice(points, FIRST, "2024-02-01", False, "point_id", "point_id")
+    return reduce.day_faults(masks, days, LAST, moved=True, may_lack=True)
+
+
+@query(f"""WITH {SHIFTED}, d AS (SELECT CAST(point_id AS VARCHAR) AS H3_INDEX, DATE, count(tp) FILTER (WHERE hour(valid_time) < 23) AS early,
+  count(tp) FILTER (WHERE hour(valid_time) = 23) AS late, sum(tp * 1000) AS total FROM s GROUP BY ALL)
+SELECT H3_INDEX, DATE, CASE WHEN early < 23 THEN 'does not lack the last hour alone' WHEN late = 0 THEN 'has no support for its last hour' END AS fault,
+       CASE WHEN early = 23 AND late = 1 THEN round(total, 6) + 0.0 END AS rain FROM d""")
+def terminal_repair(spark, sf):
+    """Days without their last hour are filled from fresh rows and added up; the others keep their nulls."""
+    rain = products.RAIN
+    hours = reduce.hourly_values(weather_frame(spark, sf, ["tp"]), selected(["precipitation"])).select(
+        F.col("point_id").cast("string").alias("H3_INDEX"), F.col("valid_time").alias("DATETIME"), rain)
+    retained = hours.withColumn(rain, F.when(F.hour("DATETIME") != 23, F.col(rain)))
+    empty = hours.select("H3_INDEX", F.to_date("DATETIME").alias("DATE"), F.lit(None).cast("double").alias(rain)).distinct()
+    faults = incremental.repair_faults(retained, empty, hours, rain)
+    days = incremental.repaired_day(incremental.fill_missing(retained, hours, products.KEYS["hourly"], rain), empty, rain)
+    return rounded(days.join(faults, products.KEYS["daily"], "left").select("H3_INDEX", "DATE", "fault", F.col(rain).alias("rain")))
+
+
+@query(f"""WITH {NATIVE} SELECT 'c' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS H3_INDEX, valid_time - INTERVAL 1 HOUR AS DATETIME, 'DIRECT_SOLAR_ENERGY_J_M2' AS metric
+FROM native JOIN customer ON c_custkey % 5 = point_id WHERE point_id = 3 AND valid_time > TIMESTAMP '{FIRST} 00:00:00' AND valid_time <= TIMESTAMP '{FIRST} 06:00:00'""")
+def native_parity(spark, sf):
+    """Published energies that are not their native samples, on the first and last day of each epoch; here those of one point's first hours."""
+    n, x = native(spark, sf), crosswalk(spark, sf)
+    hourly = products.radiation_tables(n, x, FIRST, LAST)[0]
+    name = "DIRECT_SOLAR_ENERGY_J_M2"
+    hit = F.col("DATETIME") < F.lit(f"{FIRST} 06:00:00").cast("timestamp_ntz")
+    point = F.substring("H3_INDEX", 2, 9).cast("int") % 5
+    wrong = hourly.withColumn(name, F.when(hit & (point == 3), F.col(name) + 1).otherwise(F.col(name)))
+    days = validate.boundary_days([(FIRST, "2024-01-14"), ("2024-01-15", LAST)])
+    return validate.native_differences(n, x, wrong, products.COPIED["radiation"], days)
+
+
 # ---- space --------------------------------------------------------------------------------
 
 
@@ -335,6 +394,39 @@ def bbox_select(spark, sf):
     return spatial.within(cells(spark, sf), -127.1, 47.9, -124.9, 49.1)
 
 
+POLYGONS = """
+corners AS (SELECT n_nationkey AS polygon_id, 47 + n_nationkey % 5 * 0.7 AS y, -128 + n_nationkey // 5 * 1.1 AS x, 0.3 + n_nationkey % 3 * 0.2 AS r FROM nation),
+rings AS (SELECT polygon_id, y, x, unnest([r, r / 3]) AS r FROM corners),
+edges AS (SELECT polygon_id, y - r AS lat0, x AS lon0, y AS lat1, x + r AS lon1 FROM rings UNION ALL SELECT polygon_id, y, x + r, y + r, x - r FROM rings
+  UNION ALL SELECT polygon_id, y + r, x - r, y, x - r FROM rings UNION ALL SELECT polygon_id, y, x - r, y - r, x FROM rings)"""
+
+
+@query(f"""WITH {CELLS}, {POLYGONS} SELECT h3_index, polygon_id FROM cells JOIN edges ON (lat0 <= lat) <> (lat1 <= lat)
+  AND lon0 + (lat - lat0) * (lon1 - lon0) / (lat1 - lat0) > lon GROUP BY ALL HAVING count(*) % 2 = 1""")
+def polygon_cover(spark, sf):
+    """The cells inside polygons with holes, one polygon for each nation."""
+    k = F.col("n_nationkey")
+    r = 0.3 + (k % 3) * 0.2
+    rings = table(spark, sf, "nation").select(
+        k.alias("polygon_id"), (47 + (k % 5) * 0.7).alias("y"), (-128 + F.floor(k / 5) * 1.1).alias("x"), F.explode(F.array(r, r / 3)).alias("r"))
+    y, x, r = F.col("y"), F.col("x"), F.col("r")
+    ring = [(y - r, x), (y, x + r), (y + r, x - r), (y, x - r)]
+    edges = F.array(*[F.struct(a[0].alias("lat0"), a[1].alias("lon0"), b[0].alias("lat1"), b[1].alias("lon1")) for a, b in zip(ring, [*ring[1:], ring[0]])])
+    return spatial.in_polygons(cells(spark, sf), rings.select("polygon_id", F.explode(edges).alias("e")).select("polygon_id", "e.*"))
+
+
+@query(f"""WITH {CELLS}, open AS (SELECT point_id, lat, lon - 54 AS lon FROM grid WHERE point_id % 7 <> 0 AND NOT (point_id // 100 BETWEEN 5 AND 8)),
+c AS (SELECT h3_index, lat, CASE WHEN lon - 54 < -180 THEN lon + 306 ELSE lon - 54 END AS lon FROM cells),
+d AS (SELECT h3_index, round(2 * 6371008.8 * asin(sqrt(least(1, greatest(0, pow(sin(radians(g.lat - c.lat) / 2), 2)
+   + cos(radians(c.lat)) * cos(radians(g.lat)) * pow(sin(radians(g.lon - c.lon) / 2), 2))))), 3) AS m FROM c, open g)
+SELECT h3_index, min(m) AS distance_m FROM d GROUP BY h3_index""")
+def nearest_grid_holes(spark, sf):
+    """Nearest points of a grid with holes, over the date line."""
+    points = grid(spark).where("point_id % 7 != 0 and not floor(point_id / 100) between 5 and 8").withColumn("lon", F.col("lon") - 54)
+    moved = cells(spark, sf).withColumn("lon", F.when(F.col("lon") - 54 < -180, F.col("lon") + 306).otherwise(F.col("lon") - 54))
+    return spatial.nearest_anywhere(moved, points).select("h3_index", F.round("distance_m", 3).alias("distance_m"))
+
+
 MEMBERS = "SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS h3_index FROM orders WHERE o_totalprice > 100000"
 
 

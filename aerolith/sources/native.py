@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..specs import ACCUMULATED, UNITS
@@ -111,18 +112,39 @@ def frontier(frame: DataFrame) -> DataFrame:
     return frame.agg(*[F.max(F.when(F.col(f).isNotNull(), F.col("valid_time"))).alias(f) for f in fields])
 
 
-def write_days(frame: DataFrame, path: str) -> None:
-    """Writes only the DATE partitions that the frame has, one sorted file each."""
-    keys = [c for c in ("DATE", "DATETIME", "H3_INDEX") if c in frame.columns]
-    (
-        frame.repartition("DATE")
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("DATE")
-        .parquet(path)
-    )
+#: Cells whose rows of a day make one file.
+CELLS_A_FILE = 20_000
+
+
+def slice_bounds(cells: DataFrame, column: str = "h3_index", size: int = CELLS_A_FILE) -> list[str]:
+    """The first ids of all slices of the registry but the first, in order: one id for
+    ``size`` cells."""
+    order = Window.orderBy(column)  # a registry, not its hours
+    ranked = cells.select(column).distinct().withColumn("k", F.row_number().over(order))
+    return [r[0] for r in ranked.where((F.col("k") > 1) & (F.col("k") % size == 1 % size)).orderBy("k").collect()]
+
+
+def write_days(frame: DataFrame, path: str, bounds: Sequence[str] = (), counts: dict[str, Column] | None = None) -> dict:
+    """Writes the DATE partitions that the frame has; returns ``counts`` over its rows.
+
+    A day is a file for each slice of the cells, sorted by cell and hour: no day waits for
+    one task, and a cell's rows of a day lie in one file, in few row groups by their bounds.
+    The counts are observed in the tasks that write, after the shuffle, where a task that
+    is run again counts once."""
+    keys = [c for c in ("DATE", "H3_INDEX", "DATETIME") if c in frame.columns]
+    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("H3_INDEX"))) if bounds else F.lit(0)
+    dealt = frame.withColumn("__slice", part).repartition("DATE", "__slice").drop("__slice").sortWithinPartitions(*keys)
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    if counts:
+        dealt = dealt.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    dealt = dealt.select(*[c for c in frame.columns if not c.endswith("__status")])
+    dealt.write.mode("append").option("compression", "zstd").partitionBy("DATE").parquet(path)
+    return seen.get if counts else {}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read_days(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
@@ -143,13 +165,21 @@ def read_catalog(spark: SparkSession, path: str) -> dict | None:
     return json.loads(last[0][1]) if last else None
 
 
+def every_catalog(spark: SparkSession, path: str) -> list[dict]:
+    """All versions, from the first."""
+    return [json.loads(r["value"]) for r in spark.read.text(path, wholetext=True).orderBy("version").collect()]
+
+
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     from pyspark.errors import AnalysisException
 
     try:
-        newest = spark.read.text(path, wholetext=True).orderBy(F.desc("version")).limit(1).collect()
+        every = spark.read.text(path, wholetext=True)
+        newest = every.where(F.col("version") == every.agg(F.max("version")).first()[0]).collect()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return []
         raise
+    if len(newest) > 1:
+        raise ValueError(f"two runs have written version {newest[0]['version']} of the catalog; one of them is to be removed")
     return [(int(r["version"]), r["value"]) for r in newest]

@@ -212,6 +212,7 @@ def test_incomplete_final_day_and_refresh(spark, tmp_path):
     spark.createDataFrame(rows[:48], SCHEMA).write.parquet(path)  # the midnight after the second day is to come
     with pytest.raises(ValueError, match="source ends"):
         products.get_weather(spark, path, cells, out, "2024-06-20", "2024-06-21", ["precipitation"])
+    assert source.read_catalog(spark, out + "/weather/catalog") is None
     made = products.get_weather(spark, path, cells, out, "2024-06-20", "2024-06-21", ["precipitation"], allow_incomplete_final_day=True)
     assert made["partial_fields"] == ["tp"] and made["latest_complete_day"] == "2024-06-20"
     spark.createDataFrame(rows[48:], SCHEMA).write.mode("append").parquet(path)
