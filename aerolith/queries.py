@@ -339,10 +339,15 @@ def terminal_repair(spark, sf):
     return rounded(days.join(faults, products.KEYS["daily"], "left").select("H3_INDEX", "DATE", "fault", F.col(rain).alias("rain")))
 
 
-@query(f"""WITH {NATIVE} SELECT 'c' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS H3_INDEX, valid_time - INTERVAL 1 HOUR AS DATETIME, 'DIRECT_SOLAR_ENERGY_J_M2' AS metric
-FROM native JOIN customer ON c_custkey % 5 = point_id WHERE point_id = 3 AND valid_time > TIMESTAMP '{FIRST} 00:00:00' AND valid_time <= TIMESTAMP '{FIRST} 06:00:00'""")
+@query(f"""WITH {RADIATION}, {ON_CELLS}, p AS (SELECT H3_INDEX, DATETIME, h.w, h.d + CASE WHEN x.point_id = 3 AND DATETIME < TIMESTAMP '{FIRST} 06:00:00' THEN 1 ELSE 0 END AS d, n.ssrd, n.fdir
+  FROM x CROSS JOIN hours LEFT JOIN h ON h.point_id = x.point_id AND h.valid_time = DATETIME
+  LEFT JOIN native n ON n.point_id = x.point_id AND n.valid_time = DATETIME + INTERVAL 1 HOUR
+  WHERE CAST(DATETIME AS DATE) IN (DATE '{FIRST}', DATE '2024-01-14', DATE '2024-01-15', DATE '{LAST}'))
+SELECT H3_INDEX, DATETIME, 'DOWNWARD_SHORTWAVE_ENERGY_J_M2' AS metric FROM p WHERE w IS DISTINCT FROM ssrd
+UNION ALL SELECT H3_INDEX, DATETIME, 'DIRECT_SOLAR_ENERGY_J_M2' FROM p WHERE d IS DISTINCT FROM fdir""")
 def native_parity(spark, sf):
-    """Published energies that are not their native samples, on the first and last day of each epoch; here those of one point's first hours."""
+    """Published energies that are not their native samples, on the first and last day of each epoch:
+    here those of one point's first hours, and hours that have an end but no row of their own."""
     n, x = native(spark, sf), crosswalk(spark, sf)
     hourly = products.radiation_tables(n, x, FIRST, LAST)[0]
     name = "DIRECT_SOLAR_ENERGY_J_M2"
