@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,45 +79,52 @@ def nearest_point(cells: DataFrame, grid: DataFrame, step: float = STEP, allowan
     return best.select("h3_index", checked.alias("b")).select("h3_index", "b.point_id", "b.distance_m")
 
 
-def nearest_anywhere(cells: DataFrame, grid: DataFrame, step: float = STEP) -> DataFrame:
+def nearest_anywhere(cells: DataFrame, grid: DataFrame, step: float = STEP, allowance_m: float | None = None) -> DataFrame:
     """``nearest_point`` for grids with holes, and across the date line: for every cell the
-    nearest of all points, whatever their distance.
-
-    Squares of grid corners around a cell are searched by equality on corner indices,
-    longitudes counted around the globe.  A cell is done when its best point is nearer
-    than anything outside its square can be; for the others the square is doubled, so few
-    cells take more than one round.  Equal distances go to the smaller point_id; null
-    places find nothing; a grid without points gives null for each cell."""
-    around, tall = round(360 / step), round(180 / step) + 1
-    gy, gx = F.floor(F.col("lat") / step), F.floor(F.col("lon") / step)
-    points = grid.where("lat is not null and lon is not null").select(
-        "point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"), F.round(F.col("lat") / step).cast("long").alias("gy"),
-        F.pmod(F.round(F.col("lon") / step).cast("long"), F.lit(around)).alias("gx"),
-    )
-    left = cells.select("h3_index", "lat", "lon")
-    done, reach = None, 1
+    nearest of all points, or of those within ``allowance_m``.
+
+    The globe is parted into blocks, at first of one step; a cell meets the points of its
+    own block and the eight around it by equality on block numbers, longitudes counted
+    around the globe.  It is done when its best point is nearer than anything outside
+    those blocks can be; for the others blocks of twice the size are taken, so few cells
+    take more than one round.  Equal distances go to the smaller point_id; cells without a
+    place, or without a point in reach, give null."""
+    known = cells.select("h3_index", "lat", "lon")
+    turned = lambda lon: F.pmod(F.col(lon), F.lit(360.0))
+    points = grid.where("lat is not null and lon is not null").select("point_id", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    left, done, size = known, None, 1
     while True:
-        span = F.sequence(F.lit(1 - reach), F.lit(reach))
-        rows = left.select("*", F.explode(span).alias("i")).select("*", (gy + F.col("i")).alias("gy"))
-        ring = F.array_distinct(F.transform(span, lambda j: F.pmod(gx + j, F.lit(around))))
-        rows = rows.select("h3_index", "lat", "lon", "gy", F.explode(ring).alias("gx"))
-        near = rows.join(points, ["gy", "gx"]).withColumn("m", haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+        tall, around = max(1, math.floor(180 / step / size + 1e-9)), max(1, math.floor(360 / step / size + 1e-9))
+        high, wide = 180 / tall, 360 / around
+        block = lambda lat, lon: (F.least(F.floor((F.col(lat) + 90) / high), F.lit(tall - 1)), F.floor(turned(lon) / wide) % around)  # noqa: B023, E731
+        (by, bx), (py, px) = block("lat", "lon"), block("plat", "plon")
+        ys = F.array(*[by + i for i in (-1, 0, 1)])
+        xs = F.array_distinct(F.array(*[F.pmod(bx + j, F.lit(around)) for j in (-1, 0, 1)]))
+        rows = left.select("*", F.explode(ys).alias("by"), xs.alias("xs")).select("h3_index", "lat", "lon", "by", F.explode("xs").alias("bx"))
+        near = rows.join(points.select("*", py.alias("by"), px.alias("bx")), ["by", "bx"])
+        near = near.withColumn("m", haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+        if allowance_m is not None:
+            near = near.where(F.col("m") <= allowance_m)
         best = near.groupBy("h3_index").agg(F.min(F.struct("m", "point_id")).alias("b"))
-        # the nearest place outside the square: a parallel, or the great circle of a meridian
-        south, north = F.col("lat") - (gy - reach) * step, (gy + reach + 1) * step - F.col("lat")
-        west, east = F.col("lon") - (gx - reach) * step, (gx + reach + 1) * step - F.col("lon")
-        up = F.lit(float("inf")) if reach >= tall else F.radians(F.least(south, north))
-        aside = F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(F.least(west, east, F.lit(90.0)))))
-        aside = F.lit(float("inf")) if 2 * reach >= around else aside
-        sure = F.col("b.m") < EARTH_RADIUS_M * (F.least(up, aside) - 1e-9)
-        found = left.join(best, "h3_index", "left").withColumn("sure", F.coalesce(sure, F.lit(False))).persist()
-        whole = reach >= tall and 2 * reach >= around
+        # the nearest place outside the nine blocks: a parallel, or the great circle of a meridian
+        inf = F.lit(float("inf"))
+        south = F.when(by > 1, F.col("lat") + 90 - (by - 1) * high).otherwise(inf)
+        north = F.when(by < tall - 2, (by + 2) * high - F.col("lat") - 90).otherwise(inf)
+        beside = F.least(turned("lon") - (bx - 1) * wide, (bx + 2) * wide - turned("lon"), F.lit(90.0))
+        aside = F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(beside))) if around > 3 else inf
+        outside = EARTH_RADIUS_M * (F.least(F.radians(south), F.radians(north), aside) - 1e-9)
+        sure = F.col("b.m") < outside
+        if allowance_m is not None:
+            sure = F.coalesce(sure, F.lit(False)) | (outside > allowance_m)
+        found = left.join(best, "h3_index", "left").withColumn("sure", F.coalesce(sure, F.lit(False)))
+        whole = tall <= 2 and around <= 3
+        found = found if whole else found.persist()
         part = (found if whole else found.where("sure")).select("h3_index", "b.point_id", F.col("b.m").alias("distance_m"))
         done = part if done is None else done.union(part)
         left = found.where("not sure").select("h3_index", "lat", "lon")
         if whole or left.isEmpty():
             return done
-        reach *= 2
+        size *= 2
 
 
 def in_polygons(places: DataFrame, edges: DataFrame, key: str = "h3_index", band: float = STEP) -> DataFrame:

@@ -16,7 +16,7 @@ from .functions import weather as W
 from .operators import incremental, lineage, radiation, reduce, solar_cycle, spatial, validate
 from .plans import products
 from .sources import native as source
-from .sources import registry
+from .sources import chunks, registry
 from .specs import CALM, METRICS, selected
 from .streaming.hourly import daily_support
 
@@ -461,6 +461,20 @@ def chunk_explode_crop(spark, sf):
     return x.select("vec_id", y.alias("y"), c.alias("x"), F.col("v").cast("double").alias("v")).where("y between 2 and 4 and x between 1 and 5")
 
 
+TILES = """t AS (SELECT vec_id // 40 AS y_chunk, vec_id % 40 AS x_chunk, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS p FROM embeddings),
+w AS (SELECT (y_chunk * 8 + p // 8) AS y, (x_chunk * 8 + p % 8) AS x, CAST(v AS DOUBLE) AS v FROM t)"""
+
+
+@query(f"""WITH {TILES} SELECT CAST(y * 320 + x AS BIGINT) AS point_id, 60 - y * 0.25 AS lat, -130 + x * 0.25 AS lon, v FROM w
+WHERE 60 - y * 0.25 BETWEEN 55.0 - 0.25 AND 58.0 + 0.25 AND -130 + x * 0.25 BETWEEN -121.0 - 0.25 AND -110.0 + 0.25""")
+def chunk_region(spark, sf):
+    """A region of an array in chunks of 8 x 8, of which only those that meet it are read."""
+    grid = chunks.Grid(north=60.0, west=-130.0, step=0.25, rows=10**7, columns=320, chunk=(1, 8, 8))
+    stored = table(spark, sf, "embeddings").select(
+        F.lit(0).alias("t_chunk"), F.floor(F.col("vec_id") / 40).alias("y_chunk"), (F.col("vec_id") % 40).alias("x_chunk"), F.col("embedding").alias("values"))
+    return chunks.region(stored, grid, (-121.0, 55.0, -110.0, 58.0)).select("point_id", "lat", "lon", F.col("value").alias("v"))
+
+
 # ---- incremental --------------------------------------------------------------------------
 
 ORDER_DAYS = "SELECT CAST(o_orderdate AS DATE) AS DATE, CAST(o_custkey % 50 AS VARCHAR) AS H3_INDEX, count(*) AS orders, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY ALL"
@@ -687,6 +701,25 @@ def solar_daily_cycle(spark, sf):
     return products.solar_tables(cells(spark, sf), "2024-06-19", "2024-06-21")[1]
 
 
+#: Whether the sun is above each threshold at every minute: the series by minute, then by cell.
+MINUTES = f"""k AS (SELECT 1718755200 + 60 * m AS sec FROM range(4321) r(m)), {SOLAR[SOLAR.index("a AS (SELECT"):SOLAR.index("g AS (SELECT")].rstrip().rstrip(",")},
+v AS (SELECT * FROM (VALUES ({-50 / 60}, 'SUNRISE_UTC', 'SUNSET_UTC'), (-6, 'CIVIL_DAWN_UTC', 'CIVIL_DUSK_UTC'),
+  (-12, 'NAUTICAL_DAWN_UTC', 'NAUTICAL_DUSK_UTC'), (-18, 'ASTRONOMICAL_DAWN_UTC', 'ASTRONOMICAL_DUSK_UTC')) t(edge, rises, sets)),
+h AS (SELECT h3_index, sec, degrees(asin(sin(radians(lat)) * sin(dec) + cos(radians(lat)) * cos(dec) * cos(radians(((sec % 86400) / 60 + 4 * lon + eot) / 4 - 180)))) AS el FROM cells, f),
+l AS (SELECT h3_index, sec, el, lead(el) OVER (PARTITION BY h3_index ORDER BY sec) AS later FROM h)"""
+
+
+@query(f"""WITH {CELLS}, {MINUTES} SELECT h3_index AS H3_INDEX, CAST(make_timestamp(sec * 1000000) AS DATE) AS DATE, CASE WHEN later >= edge THEN rises ELSE sets END AS event,
+ CAST(sec % 86400 // 60 AS INTEGER) AS minute FROM l JOIN v ON (el >= edge) <> (later >= edge)""")
+def solar_event_minutes(spark, sf):
+    """The minute of each event of the daily cycle; SQL looks at every minute of the days."""
+    days = products.solar_tables(cells(spark, sf), "2024-06-19", "2024-06-21")[1]
+    names = [n for pair in solar_cycle.EVENTS for n in pair]
+    long = days.unpivot(["H3_INDEX", "DATE"], names, "event", "at").where("at is not null")
+    minute = F.timestamp_diff("SECOND", F.col("DATE").cast("timestamp_ntz"), F.col("at")) / 60
+    return long.select("H3_INDEX", "DATE", "event", F.floor(minute).cast("int").alias("minute"))
+
+
 @query("SELECT count(*) * 3 AS days, CAST(0 AS BIGINT) AS faults FROM customer")
 def solar_cycle_check(spark, sf):
     """V6: durations make 24 hours and events lie on their day."""

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from aerolith.operators import incremental, reduce
+from aerolith.operators import incremental, reduce, validate
 from aerolith.plans import products
 from aerolith.sources import manifest, registry
 from aerolith.sources import native as source
@@ -177,6 +177,18 @@ def test_radiation_keeps_its_partial_day_and_quality(spark, world):
     assert done["partial_days"] == made["partial_days"] and done["latest_complete_day"] == day(2) and world.faults("radiation") == {}
 
 
+def test_native_parity_on_boundary_days(spark, world):
+    world.add(rows(range(97)))
+    products.get_radiation(spark, world.native, world.cells, world.out, day(0), day(3))
+    assert products.check_native(spark, world.native, world.cells, world.out, "radiation") == 0
+    change = spark.read.parquet(world.native).withColumn("fdir", F.when((F.col("point_id") == 1) & (F.to_date("valid_time") == day(1)), 7.0).otherwise(F.col("fdir")))
+    change.write.parquet(world.native + "2")
+    # the first stamp of the second day ends the first day's last hour, of two cells
+    assert products.check_native(spark, world.native + "2", world.cells, world.out, "radiation") == 2
+    assert [str(d) for d in validate.boundary_days([("2012-02-01", "2012-03-01"), ("2013-01-01", "2013-12-31")])] == [
+        "2012-02-01", "2012-02-29", "2012-03-01", "2013-01-01", "2013-12-31"]
+
+
 def test_coastal_merge(spark, world, tmp_path):
     world.add(rows(range(97)))
     outs = [str(tmp_path / f"part{k}") for k in range(3)]
