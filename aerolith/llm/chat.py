@@ -93,8 +93,10 @@ def train(conversations: DataFrame) -> Hmm:
         F.coalesce(*[F.when(role == name, r) for name, r in NAMES.items()]).alias("role")
     ]).where("role is not null")
     # the row before is that with the turn number one less, so no conversation is sorted in one task
-    after = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
-    pairs = known.join(after, ["conv_id", "turn"]).groupBy("before", "role").count().collect()
+    # rows of a place are counted by role before they meet, three at most a side
+    placed = known.groupBy("conv_id", "turn", "role").agg(F.count("*").alias("n"))
+    after = placed.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"), F.col("n").alias("m"))
+    pairs = placed.join(after, ["conv_id", "turn"]).groupBy("before", "role").agg(F.sum(F.col("n") * F.col("m")).alias("count")).collect()
     turn = np.ones((STATES, len(ROLES)))
     for r in pairs:
         turn[ROLES.index(r["before"]), ROLES.index(r["role"])] += r["count"]

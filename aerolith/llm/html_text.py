@@ -43,8 +43,12 @@ ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
 }
 P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object"])
 #: Padding may make a table so many times as large as its text; beyond that (one cell of a
-#: megabyte over thousands of rows) the longest cells of a column overflow.
+#: megabyte over thousands of rows, or thousands of columns) columns are made narrower, the
+#: widest first, and longer cells overflow.
 PADDING = 32
+#: Lists are indented, and tables inside tables aligned, down to this depth; cells of
+#: deeper tables are blocks.  So no line is copied or indented more often than that.
+LEVELS = 20
 
 
 class Node:
@@ -173,9 +177,18 @@ class Writer:
         self.end_line()
         self.gap = max(self.gap, gap)
 
-    def text(self) -> str:
+    def taken(self) -> list[str]:
+        """The lines, without empty ones at either end."""
         self.end_line()
-        return "\n".join(self.lines).strip("\n")
+        first, last = 0, len(self.lines)
+        while last and not self.lines[last - 1]:
+            last -= 1
+        while first < last and not self.lines[first]:
+            first += 1
+        return self.lines[first:last]
+
+    def text(self) -> str:
+        return "\n".join(self.taken())
 
 
 def span_of(cell: Node, name: str, most: int) -> int:
@@ -183,40 +196,70 @@ def span_of(cell: Node, name: str, most: int) -> int:
     return max(1, min(int(value), most)) if value.isascii() and value.isdigit() and len(value) < 7 else 1
 
 
-def align(rows: list[list[tuple[str, int, int]]]) -> list[str]:
-    """Lines of a table of ``(text, colspan, rowspan)`` cells, columns two spaces apart."""
+def columns_of(rows: list[list[tuple[list[str], int, int]]]) -> list[dict[int, list[str]]]:
+    """Each row's cells by their column.
+
+    What cells above still hold is kept as ranges of columns, next to each other only
+    where they end in different rows; a cell that would reach into one is cut short."""
     grid: list[dict[int, list[str]]] = []
-    taken: dict[int, int] = {}  # column -> rows for which a cell above still holds it
-    for row in rows:
+    held: list[tuple[int, int, int]] = []  # first column, the one after the last, first row that is free
+    for r, row in enumerate(rows):
+        if any(until <= r for _, _, until in held):
+            held = [h for h in held if h[2] > r]
         placed: dict[int, list[str]] = {}
-        column = 0
-        left = {c: n for c, n in taken.items() if n}
-        for text, columns, down in row:
-            while left.get(column):
-                column += 1
-            placed[column] = text.split("\n")
-            for c in range(column, column + columns):
-                if down > 1:
-                    taken[c] = down
-            column += columns
-        taken = {c: n - 1 for c, n in taken.items() if n > 1}
+        new: list[tuple[int, int, int]] = []
+        column = at = 0
+        for lines, columns, down in row:
+            while at < len(held) and held[at][0] <= column:
+                column = max(column, held[at][1])
+                at += 1
+            end = min(column + columns, held[at][0]) if at < len(held) else column + columns
+            placed[column] = lines
+            if down > 1:
+                new.append((column, end, min(r + down, len(rows))))
+            column = end
+        if new:
+            whole: list[tuple[int, int, int]] = []
+            for h in sorted(held + new):
+                if whole and whole[-1][1:] == (h[0], h[2]):
+                    whole[-1] = (whole[-1][0], h[1], h[2])
+                else:
+                    whole.append(h)
+            held = whole
         grid.append(placed)
+    return grid
+
+
+def align(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Lines of a table of ``(lines, colspan, rowspan)`` cells, columns two spaces apart."""
+    grid = columns_of(rows)
     widths: dict[int, int] = {}
     for placed in grid:
         for c, lines in placed.items():
             widths[c] = max(widths.get(c, 0), *map(len, lines), 0)
     order = sorted(widths)
-    lengths = [len(x) for placed in grid for lines in placed.values() for x in lines]
+    lengths = sum(len(x) for placed in grid for lines in placed.values() for x in lines)
     height = sum(max((len(x) for x in placed.values()), default=0) for placed in grid)
-    while height * sum(widths.values()) > PADDING * (sum(lengths) + 1024):
-        widest = max(widths, key=widths.get)
-        widths[widest] //= 2
+    widest, gap = max(widths.values(), default=0), 2
+    while height * sum(w + gap for w in widths.values()) > PADDING * (lengths + 1024) and gap:
+        widest //= 2
+        widths = {c: min(w, widest) for c, w in widths.items()}
+        gap = 2 if widest else 0  # too many columns for any padding: the cells of a row just follow
+    if len(order) == 1:
+        return [x.rstrip() for placed in grid for lines in placed.values() for x in lines]
+    starts, at = {}, 0
+    for c in order:
+        starts[c], at = at, at + widths[c] + gap
     out = []
     for placed in grid:
-        height = max((len(x) for x in placed.values()), default=0)
-        for k in range(height):
-            cells = [(placed[c][k] if c in placed and k < len(placed[c]) else "").ljust(widths[c]) for c in order]
-            out.append("  ".join(cells).rstrip())
+        for k in range(max((len(x) for x in placed.values()), default=0)):
+            parts, at = [], 0  # a row's own cells only, whatever the columns of other rows
+            for c, lines in placed.items():
+                if k < len(lines) and lines[k]:
+                    pad = " " * max(starts[c] - at, 2 if parts else 0)
+                    parts += [pad, lines[k]]
+                    at += len(pad) + len(lines[k])
+            out.append("".join(parts).rstrip())
     return out
 
 
@@ -242,7 +285,7 @@ def render(root: Node) -> str:
     """All visible text.  Walks with a stack of its own, so depth is no limit."""
     writers = [Writer()]
     lists: list[list] = []  # [ordered, next number]
-    tables: list[list[list]] = []
+    tables: list[list[list] | None] = []  # None: too deep to be aligned
     work: list[tuple] = [("enter", root, True, False)]
     while work:
         step, node, visible, pre = work.pop()
@@ -251,14 +294,16 @@ def render(root: Node) -> str:
             tag = node.tag
             if tag in ("ul", "ol"):
                 lists.pop()
-                w.indent = "  " * len(lists)
+                w.indent = "  " * min(len(lists), LEVELS)
                 w.block(0 if lists else 1)
-            elif tag in ("td", "th") and tables:
+            elif tag in ("td", "th") and tables and tables[-1] is not None:
                 writers.pop()
                 row = tables[-1][-1] if tables[-1] else tables[-1].append([]) or tables[-1][-1]
-                row.append((w.text(), span_of(node, "colspan", 1000), span_of(node, "rowspan", 65534)))
+                row.append((w.taken(), span_of(node, "colspan", 1000), span_of(node, "rowspan", 65534)))
+            elif tag in ("td", "th"):
+                w.block(0)
             elif tag == "table":
-                for line in align(tables.pop()):
+                for line in align(tables.pop() or []):
                     w.put(line) if line else None
                     w.end_line()
                 w.block(1)
@@ -281,25 +326,27 @@ def render(root: Node) -> str:
             if visible and node.attrs.get("alt"):
                 w.flow(node.attrs["alt"])
             continue
-        if tag in ("td", "th") and tables:
+        if tag in ("td", "th") and tables and tables[-1] is not None:
             writers.append(Writer())
-        elif tag == "tr" and tables:
+        elif tag in ("td", "th"):
+            w.block(0)
+        elif tag == "tr" and tables and tables[-1] is not None:
             tables[-1].append([])
         elif tag in BLOCKS:
             w.block(1 if tag in PARAGRAPHS and not (tag in ("ul", "ol") and lists) else 0)
             if tag in ("ul", "ol"):
                 start = node.attrs.get("start", "1")
                 lists.append([tag == "ol", int(start) if start.isascii() and start.lstrip("-").isdigit() and len(start) < 10 else 1])
-                w.indent = "  " * len(lists)
+                w.indent = "  " * min(len(lists), LEVELS)
             elif tag == "li":
-                depth = "  " * (len(lists) - 1)
+                depth = "  " * (min(len(lists), LEVELS) - 1)
                 mark = "- "
                 if lists and lists[-1][0]:
                     mark = f"{lists[-1][1]}. "
                     lists[-1][1] += 1
                 w.prefix = depth + mark
             elif tag == "table":
-                tables.append([])
+                tables.append([] if len(tables) < LEVELS else None)
         work.append(("leave", node, visible, pre))
         inner = pre or tag in ("pre", "textarea")
         work += [("enter", child, visible, inner) for child in reversed(node.children)]
@@ -313,7 +360,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     ``visibility: hidden``) and comments are left out; navigation and the like stay,
     as they are visible.  Paragraph-like blocks are set apart by an empty line, other
     blocks by a line end; list items get ``- `` or their number; cells of a row are
-    padded to their column.  Defined cases: null and empty pages give the empty text;
+    padded to their column.  Lists deeper than 20 are indented like the twentieth, and cells
+    of tables inside 20 others are blocks.  Defined cases: null and empty pages give the empty text;
     unclosed and stray tags never fail; a null id and repeated rows are carried along;
     an empty table gives an empty result; further columns are not read.
     """

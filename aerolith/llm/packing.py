@@ -100,8 +100,8 @@ def pack(
     only its last piece can share a bin.
 
     Shards of about 8,000 pieces are packed independently, a row going to a shard
-    by a hash of its id, text hash and length, so a hot source or cluster is dealt
-    over all shards.  The loss against one global packing is a few open bins a shard.
+    by a hash of its id, text hash, length and, if it is repeated, number, so a hot
+    source, cluster or row is dealt over all shards.  The loss against one global packing is a few open bins a shard.
 
     Returns ``bin_id, doc_id, piece, pieces, n_tokens, offset``, one row per piece.
     Defined cases: null, empty and blank texts have no tokens and give one row with
@@ -118,32 +118,35 @@ def pack(
         (F.col(source_col).cast("string") if source_col else F.lit(None).cast("string")).alias("source"),
         (cluster if cluster is not None else F.xxhash64(norm)).cast("long").alias("cluster"),
         F.xxhash64(id_col, text_col).alias("tie"),
-    ))
+    ).groupBy("doc_id", "len", "source", "cluster", "tie").agg(F.count("*").alias("n")))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    # repeated rows are counted before they are dealt, and each has a number of its own
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")).drop("n")
     full = (F.col("len") / capacity).cast("long")
     last = F.col("len") - full * capacity
     # pieces that fill a bin need no search
     whole = rows.where(full > 0).select(
-        "doc_id", "tie", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"), (full + (last > 0).cast("long")).alias("pieces")
+        "doc_id", "tie", "copy", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"), (full + (last > 0).cast("long")).alias("pieces")
     )
     whole = whole.select(
         F.concat_ws("-", F.lit("f"), F.hex("tie"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("piece").cast("string"),
-                    F.monotonically_increasing_id().cast("string")).alias("bin_id"),
+                    F.col("copy").cast("string")).alias("bin_id"),
         "doc_id", "piece", "pieces", F.lit(capacity).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("offset"),
     )
     tails = rows.where((last > 0)).select(
-        "doc_id", "tie", "source", "cluster", full.alias("piece"), (full + 1).alias("pieces"), last.alias("size")
+        "doc_id", "tie", "copy", "source", "cluster", full.alias("piece"), (full + 1).alias("pieces"), last.alias("size")
     )
     empty = rows.where(F.coalesce("len", F.lit(0)) == 0).select(
         F.lit(None).cast("string").alias("bin_id"), "doc_id", F.lit(0).cast("long").alias("piece"),
         F.lit(0).cast("long").alias("pieces"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("offset"),
     )
-    shards = max(1, -(-rows.count() // SHARD_PIECES))
+    shards = max(1, -(-total // SHARD_PIECES))
 
     def run(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
         return pack_shard(shard, capacity)
 
     packed = (
-        tails.withColumn("shard", F.pmod(F.xxhash64("tie", "doc_id", "size"), F.lit(shards)))
+        tails.withColumn("shard", F.pmod(F.xxhash64("tie", "doc_id", "size", "copy"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(run, "doc_id long, piece long, pieces long, size long, shard long, bin long, offset long")
         .select(
