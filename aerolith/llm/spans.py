@@ -33,6 +33,8 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in SENTENCE.findall(text or "") if s]
 
 
+#: Texts whose spans are hashed together.
+TEXTS = 256
 #: What the queries take: sentences of over ``unit_words`` words are cut.
 FINE = {"min_words": 16, "unit_words": 16, "both_ends": True}
 #: One in so many neighbouring word pairs ends a unit in an overlong sentence.
@@ -98,9 +100,10 @@ def span_hashes(docs: DataFrame, span: int, min_words: int, unit_words: int, bot
     ``tag`` tells different texts of one repeated id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # a text gives some hundred spans: few texts at a time bound what a task holds
+        for part in (batch.slice(start, TEXTS) for batch in batches for start in range(0, batch.num_rows, TEXTS)):
             counts, pos, length, digests = [], [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in part.column(2).to_pylist():
                 words = unit_words_of(text, unit_words)
                 found = span_table(list(map(len, words)), span, min_words, both_ends)
                 each = [xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
@@ -113,8 +116,8 @@ def span_hashes(docs: DataFrame, span: int, min_words: int, unit_words: int, bot
             reps = pa.array(np.repeat(np.arange(len(counts)), counts))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(reps),
-                    batch.column(1).take(reps),
+                    part.column(0).take(reps),
+                    part.column(1).take(reps),
                     pa.array(pos, pa.int32()),
                     pa.array(length, pa.int32()),
                     pa.array(pairs[:, 0]),
