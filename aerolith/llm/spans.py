@@ -20,7 +20,7 @@ from .storage import materialise
 #: beyond it the same join is shuffled.
 BROADCAST_DOCS, BROADCAST_SENTENCES = 100_000, 1_000_000
 #: Likewise the hashes of repeated spans (8 bytes each, some 50 in a hash table).
-BROADCAST_HASHES = 2_000_000
+BROADCAST_HASHES = 50_000
 #: Likewise the first places of repeated spans (some 100 bytes each).
 BROADCAST_FIRSTS = 300_000
 
@@ -141,12 +141,13 @@ def repeated_spans(
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text")
     )
-    spans = span_hashes(source, span, min_words, unit_words, both_ends)
-    # most spans occur once: half the hash tells, and only the others are dealt in full
+    # hashed once: the table is read for its hashes alone, then for the rows that share one
+    spans = materialise(span_hashes(source, span, min_words, unit_words, both_ends), compression="zstd")
+    # most spans occur once: half the hash tells, and only the others are kept in full
     repeated = materialise(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
     if repeated.count() <= BROADCAST_HASHES:
         repeated = F.broadcast(repeated)
-    spans = materialise(spans.join(repeated, "h1", "left_semi").select("id", "tag", "pos", "len", "h1", "h2"))
+    spans = materialise(spans.join(repeated, "h1", "left_semi").select("id", "tag", "pos", "len", "h1", "h2"), compression="zstd")
     place = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), "tag", "pos")
     seen = (
         spans.withColumn("place", place)
