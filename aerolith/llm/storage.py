@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: Spark's setting that removes the shuffle files of an execution when it ends.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that go to a Python worker together, BATCH at most: whole texts are long, and
+#: both the JVM and the worker hold a batch of every running task.
+ARROW, BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
+_lock = threading.Lock()
+_writing: dict[SparkSession, tuple[list[int], dict[str, str | None]]] = {}
+
+
+@contextmanager
+def write_settings(spark: SparkSession) -> Iterator[None]:
+    """Both settings for as long as any thread writes from this session; the last one
+    puts back what the session had before the first."""
+    with _lock:
+        if spark not in _writing:
+            before = {k: spark.conf.get(k, None) for k in (RELEASE, ARROW)}
+            _writing[spark] = ([0], before)
+            rows = int(before[ARROW] or 0)
+            spark.conf.set(RELEASE, "true")
+            spark.conf.set(ARROW, str(min(rows, BATCH) if rows > 0 else BATCH))
+        count, before = _writing[spark]
+        count[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            count[0] -= 1
+            if not count[0]:
+                del _writing[spark]
+                for k, v in before.items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
@@ -36,12 +69,8 @@ def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     garbage, so the disk holds the tables and the shuffles of one step."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    before = spark.conf.get(RELEASE, "false")
-    spark.conf.set(RELEASE, "true")
-    try:
+    with write_settings(spark):
         df.write.option("compression", compression).parquet(path)
-    finally:
-        spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
