@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .linking import bucket_components, only_ids
 from .storage import materialise
+from .workers import release
 
 
 class WordHashes(dict):
@@ -78,6 +79,7 @@ def signatures(docs: DataFrame, words: int, groups: int, width: int) -> DataFram
     ``width`` minhashes (the two smaller collections that tables are built from)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         memo = WordHashes()
         a, b = coefficients(2 * groups * width)
         for batch in batches:
@@ -114,6 +116,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """``(id, s, bits)`` with the whole shingle set of each row and its bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         memo = WordHashes()
         for batch in batches:
             rows = [shingle_hashes(t.as_py(), words, memo) for t in batch.column(1)]

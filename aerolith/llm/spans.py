@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialise
+from .workers import release
 
 #: Documents and sentences up to which the removals are broadcast (about 8 MB);
 #: beyond it the same join is shuffled.
@@ -100,6 +101,7 @@ def span_hashes(docs: DataFrame, span: int, min_words: int, unit_words: int, bot
     ``tag`` tells different texts of one repeated id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         # a text gives some hundred spans: few texts at a time bound what a task holds
         for part in (batch.slice(start, TEXTS) for batch in batches for start in range(0, batch.num_rows, TEXTS)):
             counts, pos, length, digests = [], [], [], []

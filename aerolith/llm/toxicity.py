@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workers import kept, release
+
 WORD = re.compile(r"\w+")
 #: The model is fitted on at most so many labelled rows, and on whole texts of so many
 #: characters together: the bounds of the one task that trains.
@@ -24,7 +26,7 @@ TRAIN_ROWS, TRAIN_CHARS = 6_000, 32_000_000
 RUN, PART, OVERLAP = 32, 16, 4
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 5
 MASK = BUCKETS - 1
-#: Word scores a Python worker keeps, over all its tasks; emptied when full.
+#: Word scores a Python worker keeps, over the tasks of this operator; emptied when full.
 MEMO_WORDS = 400_000
 
 
@@ -172,6 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
         if texts:
             m = fit(texts, np.array(marks, np.int64))
             parts = (m.embeddings, m.weights.astype(np.float32), m.bias.astype(np.float32))
+            texts.clear()
+            release()
             yield pd.DataFrame({"k": range(3), "part": [p.tobytes() for p in parts]})
 
     parts = [bytes(r["part"]) for r in sorted(data.mapInPandas(learn, "k int, part binary").collect())]
@@ -181,16 +185,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     return Model(arrays[0].reshape(BUCKETS, DIM), arrays[1].reshape(DIM, 2), arrays[2])
 
 
-_state: dict[str, tuple[float, list[float], dict[str, float]]] = {}
-
-
 def worker_state(shared) -> tuple[float, list[float], dict[str, float]]:
     """Bias, bucket logits and word memo of the model, once for each Python worker."""
     model = shared.value
-    if model.name not in _state:
-        _state.clear()
-        _state[model.name] = (float(model.bias[1] - model.bias[0]), model.bucket_logits(), {})
-    return _state[model.name]
+    return kept(model.name, lambda: (float(model.bias[1] - model.bias[0]), model.bucket_logits(), {}))
 
 
 def probabilities(texts: list[str | None], shared) -> np.ndarray:
@@ -239,10 +237,13 @@ def drop_toxic(
     """The rows of ``docs`` whose text scores below ``threshold``; all columns stay.
 
     Each row goes or stays by its own text (rows that repeat an id with other texts are
-    judged one by one); null and empty texts, and those without a word, stay; the schema,
-    whatever its column names, and an empty table stay as they are.  Rows pass through the
-    scoring task with their columns, so nothing is shuffled."""
+    judged one by one); null and empty texts, and those without a word, stay; without a
+    usable label nothing is rejected; the schema, whatever its column names, and an empty
+    table stay as they are.  Rows pass through the scoring task with their columns, so
+    nothing is shuffled."""
     model = train(docs if training_docs is None else training_docs, labels)
+    if not model.weights.any():  # only a model that has learnt nothing
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
