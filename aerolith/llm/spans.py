@@ -162,10 +162,10 @@ def repeated_spans(
     if seen.count() <= BROADCAST_FIRSTS:
         seen = F.broadcast(seen)
     later = spans.join(seen, ["h1", "h2"]).where(place != F.col("first"))
-    covered = later.select(
-        "id", "tag", F.explode(F.sequence("pos", F.expr("pos + len - 1"))).alias("at")
-    )
-    return covered.groupBy("id", "tag").agg(F.sort_array(F.collect_set("at")).alias("drop"))
+    # whole runs are gathered and spread within their row: a sentence lies in several runs
+    runs = later.groupBy("id", "tag").agg(F.collect_list(F.struct("pos", "len")).alias("runs"))
+    at = F.flatten(F.transform("runs", lambda r: F.sequence(r.pos, r.pos + r.len - 1)))
+    return runs.select("id", "tag", F.array_sort(F.array_distinct(at)).alias("drop"))
 
 
 def remove_repeated_spans(
@@ -201,6 +201,7 @@ def remove_repeated_spans(
     joined = tagged.join(drops, [name, tag], "left")
 
     def cut_batch(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
+        release()
         return cut_sentences(text, drop, unit_words)
 
     cut = F.pandas_udf(cut_batch, "text string, removed_sentences int, removed_words int")(text_col, drop)
