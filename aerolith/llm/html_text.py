@@ -21,8 +21,13 @@ WHITE = re.compile(r"[ \t\n\r\f]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 NOT_SHOWN = frozenset(
-    "head script style title noscript template iframe noembed noframes object audio video canvas svg math datalist select".split()
+    "head script style title noscript template iframe noembed noframes object audio video canvas datalist annotation annotation-xml".split()
 )
+#: Of an svg what these hold is drawn as text, unless it lies in one of the others.
+DRAWN = frozenset(["text", "foreignobject"])
+DEFINITIONS = frozenset("defs symbol clippath mask pattern marker metadata desc".split())
+#: Types of input that show no text of the page.
+WORDLESS = frozenset("hidden password checkbox radio file color range".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "html body div section article aside nav header footer main address form li dt dd figcaption details summary tr caption center legend".split()
@@ -39,8 +44,13 @@ ENDS: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "thead": (frozenset(["thead", "tbody", "tfoot", "caption"]), frozenset(["table"])),
     "tfoot": (frozenset(["thead", "tbody", "tfoot"]), frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
+    "select": (frozenset(["select"]), frozenset()),
+    "input": (frozenset(["select"]), frozenset()),
+    "textarea": (frozenset(["select"]), frozenset()),
     "body": (frozenset(["head"]), frozenset(["html"])),
 }
+FOREIGN = frozenset(["svg", "math"])
 P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object"])
 #: Padding may make a table so many times as large as its text; beyond that (one cell of a
 #: megabyte over thousands of rows, or thousands of columns) columns are made narrower, the
@@ -120,8 +130,8 @@ def build_tree(html: str) -> Node:
             body = html[at : stop.start() if stop else end]
             node.children.append(unescape(body) if tag in ("textarea", "title") else body)
             at = html.find(">", stop.start()) + 1 or end if stop else end
-        elif tag not in VOID and not (raw.endswith("/") and tag in ("path", "g", "rect", "circle")):
-            push(node)
+        elif tag not in VOID and not (raw.endswith("/") and (tag in ("svg", "math") or top(FOREIGN) > top(DRAWN - {"text"}))):
+            push(node)  # only in drawings and formulas does a slash end an element
     return root
 
 
@@ -158,6 +168,12 @@ class Writer:
             self.put(plain)
         self.space = self.space or (tail and bool(self.line))
 
+    def box(self, text: str) -> None:
+        """A field or button: its text stands apart from what is next to it."""
+        self.space = bool(self.line)
+        self.flow(text)
+        self.space = bool(self.line)
+
     def preformatted(self, text: str) -> None:
         for k, line in enumerate(text.split("\n")):
             if k:
@@ -266,7 +282,7 @@ def align(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
 def hides(node: Node, visible: bool) -> tuple[bool, bool]:
     """(not laid out at all, text is visible) of an element, given its parent's."""
     attrs = node.attrs
-    if node.tag in NOT_SHOWN or "hidden" in attrs or (node.tag == "input"):
+    if node.tag in NOT_SHOWN or "hidden" in attrs:
         return True, False
     style = attrs.get("style")
     if style:
@@ -281,6 +297,71 @@ def hides(node: Node, visible: bool) -> tuple[bool, bool]:
     return False, visible
 
 
+def drawn_text(svg: Node, visible: bool) -> list[tuple[Node, bool]]:
+    """The elements of a drawing that hold text, and whether they are visible."""
+    out: list[tuple[Node, bool]] = []
+    work = [(child, visible) for child in reversed(svg.children)]
+    while work:
+        node, visible = work.pop()
+        if isinstance(node, str) or node.tag in DEFINITIONS:
+            continue
+        gone, visible = hides(node, visible)
+        if gone:
+            continue
+        if node.tag in DRAWN:
+            out.append((node, visible))
+        else:
+            work += [(child, visible) for child in reversed(node.children)]
+    return out
+
+
+def field_text(field: Node) -> str:
+    """What an input shows: its value, or else its placeholder."""
+    kind = field.attrs.get("type", "").lower()
+    if kind in WORDLESS:
+        return ""
+    if kind == "image":
+        return field.attrs.get("alt", "")
+    return field.attrs.get("value") or field.attrs.get("placeholder", "")
+
+
+def text_of(node: Node) -> str:
+    parts, work = [], [node]
+    while work:
+        x = work.pop()
+        if isinstance(x, str):
+            parts.append(x)
+        else:
+            work += reversed(x.children)
+    return "".join(parts)
+
+
+def shown_options(select: Node) -> tuple[bool, list[str]]:
+    """(is a list box, labels that show): all options and group labels of a list box; of a
+    drop-down the last option that is selected, or else the first that is not disabled."""
+    box = "multiple" in select.attrs or span_of(select, "size", 1000) > 1
+    shown: list[str] = []
+    first = chosen = None
+    work = [(child, False) for child in reversed(select.children)]
+    while work:
+        node, disabled = work.pop()
+        if isinstance(node, str) or (box and hides(node, True)[0]):
+            continue
+        disabled = disabled or "disabled" in node.attrs
+        if node.tag != "option":
+            if node.tag == "optgroup":
+                shown.append(node.attrs.get("label", ""))
+            work += [(child, disabled) for child in reversed(node.children)]
+            continue
+        label = node.attrs.get("label") or text_of(node)
+        shown.append(label)
+        if "selected" in node.attrs:
+            chosen = label
+        if first is None and not disabled:
+            first = label
+    return box, shown if box else [x for x in (first if chosen is None else chosen,) if x]
+
+
 def render(root: Node) -> str:
     """All visible text.  Walks with a stack of its own, so depth is no limit."""
     writers = [Writer()]
@@ -311,6 +392,9 @@ def render(root: Node) -> str:
                 w.block(1 if tag in PARAGRAPHS else 0)
                 w.prefix = None if tag == "li" else w.prefix
             continue
+        if step == "line":
+            w.block(0)
+            continue
         if isinstance(node, str):
             if visible:
                 w.preformatted(node) if pre else w.flow(node)
@@ -326,6 +410,22 @@ def render(root: Node) -> str:
             if visible and node.attrs.get("alt"):
                 w.flow(node.attrs["alt"])
             continue
+        if tag == "input":
+            if visible:
+                w.box(field_text(node))
+            continue
+        if tag == "select":
+            if visible:
+                listed, labels = shown_options(node)
+                for label in labels:
+                    w.block(0) if listed else None
+                    w.box(label)
+                w.block(0) if listed else None
+            continue
+        if tag == "svg":
+            for child, seen in reversed(drawn_text(node, visible)):
+                work += [("line", child, seen, pre), ("enter", child, seen, pre), ("line", child, seen, pre)]
+            continue
         if tag in ("td", "th") and tables and tables[-1] is not None:
             writers.append(Writer())
         elif tag in ("td", "th"):
@@ -358,7 +458,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     Scripts, styles, the head, hidden elements (``hidden``, ``display: none``,
     ``visibility: hidden``) and comments are left out; navigation and the like stay,
-    as they are visible.  Paragraph-like blocks are set apart by an empty line, other
+    as they are visible.  A drop-down shows one option and a list box all, inputs show
+    their value or placeholder, drawings their text elements, a line each.  Paragraph-like blocks are set apart by an empty line, other
     blocks by a line end; list items get ``- `` or their number; cells of a row are
     padded to their column.  Lists deeper than 20 are indented like the twentieth, and cells
     of tables inside 20 others are blocks.  Defined cases: null and empty pages give the empty text;

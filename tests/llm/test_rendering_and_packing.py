@@ -107,3 +107,30 @@ def test_rows_that_share_an_id_keep_their_own_lines(spark):
     got = sorted((r["lines"], r["text"]) for r in lines.drop_fuzzy_lines(docs).collect())
     assert got == [(1, same), (2, ""), (3, "another text entirely\nsecond of them"), (4, "nothing like it at all"), (5, "and yet another line to keep"), (6, None)]
     assert lines.drop_fuzzy_lines(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, text", [
+    ("Go<select><option>one<option selected>two<option>three</select>now", "Go two now"),
+    ("<select><option disabled>no<optgroup label=g disabled><option>no</optgroup><option>yes</select>", "yes"),
+    ("<select><option value='' disabled selected hidden>Choose <b>one</b><option>a</select>", "Choose one"),
+    ("a<select multiple><optgroup label=g><option>one<option hidden>no<optgroup label=h><option label=two>no</select>b", "a\ng\none\nh\ntwo\nb"),
+    ("<select size=2><option>x<option>y</select>", "x\ny"), ("<select></select>", ""), ("<select><option disabled>no</select>", ""),
+    ("<select><option>x<input value=y>z", "x y z"), ("<select>no<option>x</option>no</select>", "x"),
+    ("<div hidden><select><option>no</select></div>", ""), ("<p style='visibility:hidden'><select><option>no</select><input value=no></p>yes", "yes"),
+    ("Name<input placeholder=yours><input type=submit value='Send it'><input type=hidden value=no><input type=PASSWORD value=no>", "Name yours Send it"),
+    ("<input type=image alt=find value=no><input type=checkbox value=no> all<input>", "find all"),
+    ("a<svg><title>no</title><defs><text>no</text></defs><g><rect/><path d=x /><text x=1>one <tspan>two</tspan></text></g>no<text>three</text></svg>b", "a\none two\nthree\nb"),
+    ("<svg><g style='display:none'><text>no</text></g><g visibility=x style='visibility:hidden'><text>no</text><text style='visibility:visible'>yes</text></g></svg>", "yes"),
+    ("<svg><foreignObject><p>in<svg/><div/>deep</div></foreignObject></svg>out", "in\n\ndeep\nout"),
+    ("x <svg><circle/></svg> y", "x y"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x=2"),
+])
+def test_fields_and_drawings_show_what_browsers_show(html, text):
+    assert render(html) == text
+
+
+def test_fields_and_drawings_are_linear():
+    start = time.perf_counter()
+    for page in ("<select multiple>" + "<option>x" * 60_000, "<svg>" * 60_000 + "<text>x", "<svg><foreignObject>" * 30_000 + "x", "<select><option>" + "<b>" * 60_000 + "x",
+                 "<svg>" + "<g/>" * 100_000, "<input value=x>" * 50_000):
+        render(page)
+    assert time.perf_counter() - start < 20
