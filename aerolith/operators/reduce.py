@@ -196,3 +196,8 @@ def status_histogram(frame: DataFrame) -> DataFrame:
 
 def values_only(frame: DataFrame) -> DataFrame:
     return frame.select(*[c for c in frame.columns if not c.endswith("__status")])
+
+
+def rounded(frame: DataFrame, digits: int) -> DataFrame:
+    """Doubles rounded, without a negative zero."""
+    return frame.select(*[(F.round(f.name, digits) + 0.0).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in frame.schema.fields])

@@ -144,9 +144,26 @@ def in_polygons(places: DataFrame, edges: DataFrame, key: str = "h3_index", band
     return meet.groupBy(key, "polygon_id").agg(F.count("*").alias("n")).where("n % 2 = 1").select(key, "polygon_id")
 
 
+#: Cells that are given one copy of their point's values.
+CELLS_A_COPY = 2_000
+
+
 def sample(values: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Values at points given to the cells that lie nearest (many to one)."""
-    return crosswalk.select("h3_index", "point_id").join(values, "point_id").drop("point_id").withColumnRenamed("h3_index", "H3_INDEX")
+    """Values at points given to the cells that lie nearest (many to one).
+
+    The result is many times what is joined, so its rows are dealt out before the join:
+    the cells of a point are parted, and each part meets a copy of the point's values in
+    a task of its own.  A point of up to ``CELLS_A_COPY`` cells is copied once, so copies
+    are at most the values and one row in ``CELLS_A_COPY`` of the result."""
+    tasks = 4 * values.sparkSession.sparkContext.defaultParallelism
+    copies = crosswalk.groupBy("point_id").agg(F.ceil(F.count("*") / CELLS_A_COPY).cast("int").alias("__copies"))
+    part = F.pmod(F.xxhash64("h3_index"), F.col("__copies")).cast("int").alias("__copy")
+    cells = crosswalk.select("h3_index", "point_id").join(copies, "point_id").select("h3_index", "point_id", part)
+    each = F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__copy")
+    copied = values.join(copies, "point_id").select(*values.columns, each)
+    keys = ["point_id", "__copy"]
+    met = cells.repartition(tasks, *keys).join(copied.repartition(tasks, *keys), keys)
+    return met.drop(*keys).withColumnRenamed("h3_index", "H3_INDEX")
 
 
 def lattice(cells: DataFrame, start: str, end: str, hourly: bool, key: str = "h3_index", name: str = "H3_INDEX", carry: tuple[str, ...] = ()) -> DataFrame:

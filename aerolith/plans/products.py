@@ -21,11 +21,14 @@ from ..sources import native as source
 from ..specs import ACCUMULATED, CALM, COMPLETE, FAMILIES, OUTSIDE_RH, PARTIAL, UNAVAILABLE, inputs_of, selected
 
 
-def on_cells(values: DataFrame, crosswalk: DataFrame, start: str, end: str, hourly: bool) -> DataFrame:
+def on_cells(values: DataFrame, crosswalk: DataFrame, start: str, end: str, hourly: bool, digits: int | None = None) -> DataFrame:
     """Values at points, dense over the range, given to the cells of each point.
 
     The lattice is laid over the points, which are few; the one join at the size of
-    cells x hours is that with the crosswalk."""
+    cells x hours is that with the crosswalk.  ``digits`` rounds the values at the points,
+    once for all their cells."""
+    if digits is not None:
+        values = reduce.rounded(values, digits)
     points = crosswalk.select("point_id").distinct()
     keys = spatial.lattice(points, start, end, hourly, "point_id", "point_id")
     return spatial.sample(spatial.densify(values, keys), crosswalk)
@@ -39,28 +42,30 @@ def stamped(frame: DataFrame) -> DataFrame:
     return frame.withColumnRenamed("valid_time", "DATETIME")
 
 
-def weather_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str, families: Sequence[str] | None = None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+def weather_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str, families: Sequence[str] | None = None, strict: bool = True,
+                   digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Dense hourly and daily tables: reduce at points, lay on the lattice, give to cells."""
     fields = inputs_of(selected(families))
     frame = reduce.end_of_hour(reduce.clean(source.utc(native), fields), fields)
-    return tuple(map(reduce.values_only, weather_frames(within_days(frame, start, end), crosswalk, start, end, families, strict)))
+    return tuple(map(reduce.values_only, weather_frames(within_days(frame, start, end), crosswalk, start, end, families, strict, digits)))
 
 
-def weather_frames(frame: DataFrame, crosswalk: DataFrame, start: str, end: str, families: Sequence[str] | None, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+def weather_frames(frame: DataFrame, crosswalk: DataFrame, start: str, end: str, families: Sequence[str] | None, strict: bool = True,
+                   digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``weather_tables`` of fields that stand at the start of their hour, with statuses."""
     metrics = selected(families)
     hours, days = stamped(reduce.hourly_values(frame, metrics)), reduce.daily_values(frame, metrics, strict)
-    return on_cells(hours, crosswalk, start, end, True), on_cells(days, crosswalk, start, end, False)
+    return on_cells(hours, crosswalk, start, end, True, digits), on_cells(days, crosswalk, start, end, False, digits)
 
 
-def radiation_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+def radiation_tables(native: DataFrame, crosswalk: DataFrame, start: str, end: str, digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     hours = within_days(radiation.hourly(source.utc(native)), start, end)
-    return radiation_frames(hours, crosswalk, start, end)
+    return radiation_frames(hours, crosswalk, start, end, digits)
 
 
-def radiation_frames(hours: DataFrame, crosswalk: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+def radiation_frames(hours: DataFrame, crosswalk: DataFrame, start: str, end: str, digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     days = radiation.daily(hours, strict=True)
-    return on_cells(stamped(hours), crosswalk, start, end, True), on_cells(days, crosswalk, start, end, False)
+    return on_cells(stamped(hours), crosswalk, start, end, True, digits), on_cells(days, crosswalk, start, end, False, digits)
 
 
 def solar_tables(cells: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:

@@ -80,7 +80,7 @@ def crosswalk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
-    return frame.select(*[(F.round(f.name, digits) + 0.0).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in frame.schema.fields])
+    return reduce.rounded(frame, digits)
 
 
 def query(sql: str | None = None):
@@ -734,14 +734,14 @@ def solar_cycle_check(spark, sf):
 @query(f"WITH {HOURLY}, {ON_CELLS}, v AS ({daily_sql('h', False, 7)}) SELECT x.H3_INDEX, DATE, v.* EXCLUDE (point_id, DATE) FROM x CROSS JOIN days LEFT JOIN v USING (point_id, DATE)")
 def weather_product_daily(spark, sf):
     """The whole daily table of the weather product over all cells."""
-    return rounded(products.weather_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST)[1], 7)
+    return products.weather_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST, digits=7)[1]
 
 
 @query(f"WITH {HOURLY}, {ON_CELLS}, v AS (SELECT point_id, valid_time AS DATETIME, {', '.join(r6(v, m) for m, v in VALUES.items())} FROM h) "
        "SELECT x.H3_INDEX, DATETIME, v.* EXCLUDE (point_id, DATETIME) FROM x CROSS JOIN hours LEFT JOIN v USING (point_id, DATETIME)")
 def weather_product_hourly(spark, sf):
     """The whole hourly table of the weather product over all cells."""
-    return rounded(products.weather_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST)[0])
+    return products.weather_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST, digits=6)[0]
 
 
 @query(f"WITH {RADIATION}, {ON_CELLS}, v AS (SELECT {DAILY}, " + ", ".join(
@@ -750,4 +750,4 @@ def weather_product_hourly(spark, sf):
     "SELECT x.H3_INDEX, DATE, v.* EXCLUDE (point_id, DATE) FROM x CROSS JOIN days LEFT JOIN v USING (point_id, DATE)")
 def radiation_product_daily(spark, sf):
     """The whole daily table of the radiation product over all cells."""
-    return rounded(products.radiation_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST)[1], 4)
+    return products.radiation_tables(native(spark, sf), crosswalk(spark, sf), FIRST, LAST, digits=4)[1]
