@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.solar import phase
 from ..functions.weather import finite
 from ..specs import ACCUMULATED
-from .spatial import sample
 
 
 def repeated_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,9 +86,11 @@ def native_differences(native: DataFrame, crosswalk: DataFrame, hourly: DataFram
     the native sample of the cell's point; ``columns`` gives each one's field.
 
     An accumulated field is looked up at the end of the hour, apart from how products
-    are made."""
+    are made.  Published rows meet the crosswalk, whose cells are few, and then the
+    native rows at their points: the native sample is not laid over the cells first."""
     wanted = F.to_date("DATETIME").isin(list(days))
-    published = hourly.where(wanted)
+    point = crosswalk.select(F.col("h3_index").alias("H3_INDEX"), "point_id").where("point_id is not null")
+    published = hourly.where(wanted).join(point.hint("shuffle_hash"), "H3_INDEX", "left")
     out = None
     for ended in (True, False):
         own = {c: f for c, f in columns.items() if (f in ACCUMULATED) == ended}
@@ -97,7 +98,7 @@ def native_differences(native: DataFrame, crosswalk: DataFrame, hourly: DataFram
             continue
         stamp = F.col("valid_time") - F.expr("interval 1 hour") if ended else F.col("valid_time")
         rows = native.select("point_id", stamp.alias("DATETIME"), *[finite(F.col(f)).alias(f"native_{c}") for c, f in own.items()]).where(wanted)
-        both = published.join(sample(rows, crosswalk), ["H3_INDEX", "DATETIME"], "left")
+        both = published.join(rows, ["point_id", "DATETIME"], "left")
         off = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"native_{c}")), c) for c in own]))
         found = both.select("H3_INDEX", "DATETIME", F.explode(off).alias("metric"))
         out = found if out is None else out.union(found)
